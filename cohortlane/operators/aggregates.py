@@ -32,20 +32,45 @@ def count_rows(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n_rows"))
 
 
+def counted_pieces(df: DataFrame, keys: list[str], c: str, sep: str) -> DataFrame:
+    """Equal values counted (on the map side) and written out as ``sep + value`` that many times."""
+    counted = df.filter(F.col(c).isNotNull()).groupBy(*keys, c).agg(F.count("*").alias("times"))
+    return counted.withColumn("piece", F.repeat(F.concat(F.lit(sep), F.col(c)), F.col("times").cast("int")))
+
+
+def without_first(joined: str, sep: str) -> Column:
+    return F.substring(joined, len(sep) + 1, (1 << 31) - 1)
+
+
 def agg_text(df: DataFrame, key: str, c: str, name: str, sep: str = ", ") -> DataFrame:
     """All values of ``c`` per key in one ordered text, duplicates kept.
 
-    Equal values are counted first and written out by ``repeat``, so a hot key moves
-    one row per distinct value, not one per occurrence.
+    For values from a small vocabulary: however many rows a hot key has, the final
+    row gathers one piece per distinct value.
+    """
+    joined = F.expr(f"listagg(piece, '') WITHIN GROUP (ORDER BY `{c}`)").alias("joined")
+    texts = counted_pieces(df, [key], c, sep).groupBy(key).agg(joined)
+    return texts.select(key, without_first("joined", sep).alias(name))
+
+
+def long_text(df: DataFrame, keys: list[str], c: str, name: str, sep: str = ", ") -> DataFrame:
+    """Like :func:`agg_text` for groups that may hold a large share of all rows.
+
+    The values are range-partitioned, which splits a hot group over many tasks; each
+    range is joined to one text where it lies, and only these texts meet in the
+    final row.
     """
-    counted = df.filter(F.col(c).isNotNull()).groupBy(key, c).agg(F.count("*").alias("times"))
-    piece = F.repeat(F.concat(F.lit(sep), F.col(c)), F.col("times").cast("int"))
-    return (
-        counted.withColumn("piece", piece)
-        .groupBy(key)
-        .agg(F.expr(f"listagg(piece, '') WITHIN GROUP (ORDER BY `{c}`)").alias("joined"))
-        .select(key, F.substring("joined", len(sep) + 1, (1 << 31) - 1).alias(name))
+    ranged = counted_pieces(df, keys, c, sep).repartitionByRange(*keys, c)
+    slices = (
+        ranged.withColumn("slice", F.spark_partition_id())
+        .groupBy(*keys, "slice")
+        .agg(
+            F.expr(f"listagg(piece, '') WITHIN GROUP (ORDER BY `{c}`)").alias("text"),
+            F.min(c).alias("first_value"),
+        )
     )
+    joined = F.expr("listagg(text, '') WITHIN GROUP (ORDER BY first_value)").alias("joined")
+    return slices.groupBy(*keys).agg(joined).select(*keys, without_first("joined", sep).alias(name))
 
 
 def conditional_counts(df: DataFrame, group: list[str], conds: dict[str, Column]) -> DataFrame:
@@ -175,26 +200,5 @@ def action_items(users: DataFrame) -> DataFrame:
 
 
 def consultant_actions(users: DataFrame) -> DataFrame:
-    """Per consultant and action the sorted patients as one text; empty lists do not appear.
-
-    A consultant may hold a large share of all patients, so the text is not built from
-    the raw group.  Equal labels are counted, the labels are range-partitioned (which
-    splits a hot list over many tasks), each range is joined to one text where it
-    lies, and only these texts meet in the final row.
-    """
-    keys = ["consultant", "action_order", "action"]
-    counted = action_items(users).groupBy(*keys, "label").agg(F.count("*").alias("times"))
-    piece = F.repeat(F.concat(F.lit(", "), F.col("label")), F.col("times").cast("int"))
-    ranged = (
-        counted.repartitionByRange(*keys, "label")
-        .withColumn("piece", piece)
-        .withColumn("slice", F.spark_partition_id())
-    )
-    slices = ranged.groupBy(*keys, "slice").agg(
-        F.expr("listagg(piece, '') WITHIN GROUP (ORDER BY label)").alias("text"),
-        F.min("label").alias("first_label"),
-    )
-    joined = slices.groupBy(*keys).agg(
-        F.expr("listagg(text, '') WITHIN GROUP (ORDER BY first_label)").alias("joined")
-    )
-    return joined.select(*keys, F.substring("joined", 3, (1 << 31) - 1).alias("patients"))
+    """Per consultant and action the sorted patients as one text; empty lists do not appear."""
+    return long_text(action_items(users), ["consultant", "action_order", "action"], "label", "patients")

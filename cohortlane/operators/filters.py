@@ -59,7 +59,7 @@ def in_list(c: Column, values: tuple) -> Column:
 
 def in_table(df: DataFrame, column: str, listed: DataFrame) -> DataFrame:
     """Membership in a list too long for ``isin``: a semi join, broadcast only if Spark finds it small."""
-    keys = listed.select(F.col(listed.columns[0]).alias(column))
+    keys = listed.select(F.col(listed.columns[0]).alias(column)).distinct()
     return df.join(keys, column, "left_semi")
 
 

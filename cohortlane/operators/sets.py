@@ -74,5 +74,9 @@ def date_spine(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
 
 
 def sorted_report(df: DataFrame, keys: list[str], drop: tuple[str, ...] = ()) -> DataFrame:
-    """Ascending with NULLs last; sort keys named in ``drop`` are not shown."""
+    """Ascending with NULLs last; sort keys named in ``drop`` are not shown.
+
+    Reports end their keys with an id: rows with equal names keep a fixed order, and
+    the range partitioning behind the sort can split them.
+    """
     return df.orderBy(*[F.col(f"`{k}`").asc_nulls_last() for k in keys]).drop(*drop)

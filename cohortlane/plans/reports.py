@@ -150,7 +150,8 @@ def full_table(ctx: ReportContext) -> DataFrame:
 
 
 def report_full_analytics(ctx: ReportContext) -> DataFrame:
-    return titled(sorted_report(full_table(ctx), ["plan_type", "patient_name"]), fv.FULL_HEADINGS)
+    rows = sorted_report(full_table(ctx), ["plan_type", "patient_name", "patient_id"])
+    return titled(rows, fv.FULL_HEADINGS)
 
 
 # --- annotation with the sheet ------------------------------------------------
@@ -162,37 +163,48 @@ def analytics_lookup(full: DataFrame) -> DataFrame:
     return last_per_name(full, "patient_name", values, F.struct("cohort", "patient_name", "patient_id"))
 
 
-def annotate(users: DataFrame, full: DataFrame, sheet: DataFrame, ctx: ReportContext) -> DataFrame:
-    """Track status and the sheet's reasons in place of the raw flags.
+def progress_by_name(full: DataFrame, sheet: DataFrame, ctx: ReportContext) -> DataFrame:
+    """Track status and sheet reasons by patient name.
 
-    Both lookups are joined to each other first (one row per name on either side), so
-    the users meet them in a single join whose other side is unique per name.
+    The sheet's dose text is parsed once per sheet name, below the join.
     """
-    names = analytics_lookup(full).join(sheet_lookup(sheet), "name_key", "left")
-    joined = lookup_join(users, "patient_name", names)
-    dose_day = parse_date_multi(F.col("glp_1st_dose"))
+    entries = sheet_lookup(sheet).withColumn("dose_day", parse_date_multi(F.col("glp_1st_dose")))
     status = progress_status(
         F.col("start_weight"),
         F.col("goal_weight"),
         F.col("current_weight"),
         F.col("actual_loss"),
-        dose_day,
+        F.col("dose_day"),
         day(ctx.as_of),
     )
-    reasons = {
-        "user_onboarded": "not_onboarding_reason",
-        "meal_log": "meal_logging_reason",
-        "weight_log": "weight_logging_reason",
-    }
+    joined = analytics_lookup(full).join(entries.drop("glp_1st_dose"), "name_key", "left")
+    return joined.select("name_key", status.alias("progress"), *SHEET_REASONS.values())
+
+
+# Report column -> sheet column whose text replaces a "No".
+SHEET_REASONS = {
+    "user_onboarded": "not_onboarding_reason",
+    "meal_log": "meal_logging_reason",
+    "weight_log": "weight_logging_reason",
+}
+
+
+def annotate(users: DataFrame, full: DataFrame, sheet: DataFrame, ctx: ReportContext) -> DataFrame:
+    """Track status and the sheet's reasons in place of the raw flags.
+
+    Both lookups are joined to each other first (one row per name on either side), so
+    the users meet them in a single join whose other side is unique per name.
+    """
+    joined = lookup_join(users, "patient_name", progress_by_name(full, sheet, ctx))
     marked = {
         fv.USER_HEADINGS[c]: F.when(is_no(F.col(c)) & (F.col(reason) != ""), fv.CELL_REASON)
-        for c, reason in reasons.items()
+        for c, reason in SHEET_REASONS.items()
     }
     return joined.withColumns(
         {
             "cell_classes": class_map(marked),
-            "track": status,
-            **{c: reason_override(F.col(c), F.col(reason)) for c, reason in reasons.items()},
+            "track": F.coalesce("progress", F.lit(fv.DATA_INCOMPLETE)),
+            **{c: reason_override(F.col(c), F.col(reason)) for c, reason in SHEET_REASONS.items()},
         }
     ).select(*users.columns, "cell_classes")
 

@@ -70,4 +70,4 @@ def team_streaks(ctx: ReportContext) -> DataFrame:
 
 
 def report_team_streaks(ctx: ReportContext) -> DataFrame:
-    return titled(sorted_report(team_streaks(ctx), ["name"]), fv.STREAK_HEADINGS)
+    return titled(sorted_report(team_streaks(ctx), ["name", "patient_id"]), fv.STREAK_HEADINGS)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 
 _LOG = "patient_id BIGINT, date TIMESTAMP"
@@ -52,4 +54,5 @@ def load_role(spark: SparkSession, folder: str, role: str) -> DataFrame:
 
 
 def folder_reader(spark: SparkSession, folder: str):
-    return lambda role: load_role(spark, folder, role)
+    """Role reader over a folder of role tables; every role is planned once."""
+    return cache(lambda role: load_role(spark, folder, role))

@@ -500,19 +500,20 @@ def sort_hidden_key(ctx):
 
 @query
 def sort_two_keys(ctx):
-    rows = reports.progress_inputs(ctx).select("cohort", "patient_name", "start_weight", "current_weight")
-    return sets.sorted_report(rows, ["cohort", "patient_name"])
+    columns = ["cohort", "patient_name", "start_weight", "current_weight", "patient_id"]
+    rows = reports.progress_inputs(ctx).select(*columns)
+    return sets.sorted_report(rows, ["cohort", "patient_name", "patient_id"], drop=("patient_id",))
 
 
 @query
 def sort_name(ctx):
-    return sets.sorted_report(streaks.team_targets(ctx), ["name"])
+    return sets.sorted_report(streaks.team_targets(ctx), ["name", "patient_id"])
 
 
 @query
 def sort_in_group(ctx):
     users = features.cohort_base(ctx).select("nutritionist_id", F.trim("firstname").alias("patient_name"))
-    lists = aggregates.agg_text(users, "nutritionist_id", "patient_name", "patients")
+    lists = aggregates.long_text(users, ["nutritionist_id"], "patient_name", "patients")
     return sets.sorted_report(lists, ["nutritionist_id"])
 
 
