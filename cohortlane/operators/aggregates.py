@@ -73,52 +73,39 @@ def long_text(df: DataFrame, keys: list[str], c: str, name: str, sep: str = ", "
     return slices.groupBy(*keys).agg(joined).select(*keys, without_first("joined", sep).alias(name))
 
 
-def conditional_counts(df: DataFrame, group: list[str], conds: dict[str, Column]) -> DataFrame:
-    return df.groupBy(*group).agg(*[F.count_if(c).alias(n) for n, c in conds.items()])
+def conditional_counts(df: DataFrame, group: list[str], conds: dict[str, str]) -> DataFrame:
+    return df.groupBy(*group).agg(*[F.expr(f"count_if({c})").alias(n) for n, c in conds.items()])
 
 
-# Report metrics in order: name -> condition over a feature row of one day.
-def summary_conditions(onboarded: str, track: str, days: str, meal: str, weight: str) -> dict[str, Column]:
+def summary_conditions(suffix: str = "") -> dict[str, str]:
+    """Report metrics in order: name -> SQL condition over a feature row of one day."""
     return {
-        fv.METRIC_PAID: F.lit(True),
-        fv.METRIC_NOT_ONBOARDED: F.col(onboarded) == fv.NO,
-        fv.METRIC_ON_TRACK: F.col(track) == fv.ON_TRACK,
-        fv.METRIC_OFF_TRACK: F.col(track) == fv.OFF_TRACK,
-        fv.METRIC_NO_CONTACT: (F.col(days) > 2) | F.col(days).isNull(),
-        fv.METRIC_NO_MEAL: F.col(meal) == fv.NO,
-        fv.METRIC_NO_WEIGHT: F.col(weight) == fv.NO,
+        fv.METRIC_PAID: "true",
+        fv.METRIC_NOT_ONBOARDED: f"user_onboarded{suffix} = '{fv.NO}'",
+        fv.METRIC_ON_TRACK: f"track{suffix} = '{fv.ON_TRACK}'",
+        fv.METRIC_OFF_TRACK: f"track{suffix} = '{fv.OFF_TRACK}'",
+        fv.METRIC_NO_CONTACT: f"(days_since_contact{suffix} > 2 OR days_since_contact{suffix} IS NULL)",
+        fv.METRIC_NO_MEAL: f"meal_log{suffix} = '{fv.NO}'",
+        fv.METRIC_NO_WEIGHT: f"weight_log{suffix} = '{fv.NO}'",
     }
 
 
-TODAY = ("user_onboarded", "track", "days_since_contact", "meal_log", "weight_log")
-PREV = tuple(f"{c}_prev" for c in TODAY)
-
-
 def summary_matrix(features: DataFrame) -> DataFrame:
     """7 metrics x (2 cohorts x 2 days) from one global aggregate of the cohort features.
 
     A missing cohort counts as zero because the aggregate has no grouping key.
     """
-    coach, glp = F.col("cohort") == fv.COACH_APP, F.col("cohort") == fv.GLP
-    today, prev = summary_conditions(*TODAY), summary_conditions(*PREV)
-    cells = {}
-    for i, metric in enumerate(today):
-        in_prev = F.col("in_prev") & prev[metric]
-        cells[f"coach_today_{i}"] = coach & today[metric]
-        cells[f"coach_yesterday_{i}"] = coach & in_prev
-        cells[f"glp_today_{i}"] = glp & today[metric]
-        cells[f"glp_yesterday_{i}"] = glp & in_prev
-    one_row = features.agg(*[F.count_if(c).alias(n) for n, c in cells.items()])
-    columns = ("coach_today", "coach_yesterday", "glp_today", "glp_yesterday")
-    rows = [
-        F.struct(
-            F.lit(i + 1).alias("sort_order"),
-            F.lit(metric).alias("metric"),
-            *[F.col(f"{c}_{i}").alias(c) for c in columns],
-        )
-        for i, metric in enumerate(today)
-    ]
-    return one_row.select(F.inline(F.array(*rows)))
+    today, prev = summary_conditions(), summary_conditions("_prev")
+    rows = []
+    for i, metric in enumerate(today, start=1):
+        cells = {
+            f"{short}_{day}": f"count_if(cohort = '{cohort}' AND {cond})"
+            for short, cohort in (("coach", fv.COACH_APP), ("glp", fv.GLP))
+            for day, cond in (("today", today[metric]), ("yesterday", f"in_prev AND {prev[metric]}"))
+        }
+        counts = ", ".join(f"'{name}', {count}" for name, count in cells.items())
+        rows.append(f"named_struct('sort_order', {i}, 'metric', '{metric}', {counts})")
+    return features.agg(F.expr(f"array({', '.join(rows)})").alias("rows")).select(F.inline("rows"))
 
 
 def metric_rows(matrix: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..context import ReportContext
-from ..functions.dates import before_day, day, day_diff, latest_of
+from ..functions.dates import day, day_diff, latest_of
 from ..functions.measures import onboarded, track_status
 from ..functions.text import yes_no
 from ..operators.aggregates import agg_text
@@ -32,41 +32,46 @@ def engagement_rows(ctx: ReportContext, prev: bool, active: bool) -> DataFrame:
 
     ``prev`` adds the columns as they stood yesterday, ``active`` the latest day with any log.
     """
-    date, seen = F.to_date("date"), F.lit(True)
-    earlier = before_day(F.col("date"), ctx.as_of)
-    weight, fat = F.col("name") == fv.BODY_WEIGHT, F.col("name") == fv.BODY_FAT
-    named = F.col("consultant_id").isNotNull()
-    sent = F.to_date("messaged_at")
-    columns: dict[str, dict[str, Column]] = {
-        "patientfoodlogs": {"has_food": seen, "last_meal_day": date},
-        "metrics": {"has_fat": F.when(fat, seen), "last_weight_day": F.when(weight, date)},
-        "patientnotes": {"last_note_day": F.when(named, date)},
-        "appointment": {"last_visit_day": date},
-        "messages": {"last_message_day": F.max(sent)},
+    day_of, seen = "to_date(date)", "true"
+    weight, fat = f"name = '{fv.BODY_WEIGHT}'", f"name = '{fv.BODY_FAT}'"
+    named = "consultant_id IS NOT NULL"
+
+    def when(cond: str, value: str = day_of) -> str:
+        return f"CASE WHEN {cond} THEN {value} END"
+
+    columns: dict[str, dict[str, str]] = {
+        "patientfoodlogs": {"has_food": seen, "last_meal_day": day_of},
+        "metrics": {"has_fat": when(fat, seen), "last_weight_day": when(weight)},
+        "patientnotes": {"last_note_day": when(named)},
+        "appointment": {"last_visit_day": day_of},
+        "messages": {"last_message_day": "to_date(messaged_at)"},
     }
     if prev:
-        columns["patientfoodlogs"]["last_meal_day_prev"] = F.when(earlier, date)
-        columns["metrics"]["last_fat_day_prev"] = F.when(earlier & fat, date)
-        columns["metrics"]["last_weight_day_prev"] = F.when(earlier & weight, date)
-        columns["patientnotes"]["last_note_day_prev"] = F.when(earlier & named, date)
-        columns["patientnotes"]["last_any_note_day_prev"] = F.when(earlier, date)
-        columns["appointment"]["last_visit_day_prev"] = F.when(earlier, date)
-        sent_earlier = before_day(F.col("messaged_at"), ctx.as_of)
-        columns["messages"]["last_message_day_prev"] = F.max(F.when(sent_earlier, sent))
+        earlier = f"date < DATE '{ctx.as_of}'"
+        columns["patientfoodlogs"]["last_meal_day_prev"] = when(earlier)
+        columns["metrics"]["last_fat_day_prev"] = when(f"{earlier} AND {fat}")
+        columns["metrics"]["last_weight_day_prev"] = when(f"{earlier} AND {weight}")
+        columns["patientnotes"]["last_note_day_prev"] = when(f"{earlier} AND {named}")
+        columns["patientnotes"]["last_any_note_day_prev"] = when(earlier)
+        columns["appointment"]["last_visit_day_prev"] = when(earlier)
+        columns["messages"]["last_message_day_prev"] = when(
+            f"messaged_at < DATE '{ctx.as_of}'", "to_date(messaged_at)"
+        )
     if active:
         columns["activity"] = {}
         for role in ACTIVITY_ROLES:
-            columns[role]["last_active_day"] = date
+            columns[role]["last_active_day"] = day_of
 
     def rows(role: str) -> DataFrame:
         if role == "messages":
-            return last_consultant_message(ctx.role("chats"), ctx.role(role), columns[role])
+            latest = {n: F.expr(f"max({c})") for n, c in columns[role].items()}
+            return last_consultant_message(ctx.role("chats"), ctx.role(role), latest)
         df = ctx.role(role)
         if role == "metrics" and not active:
             df = df.filter(F.col("name").isin(fv.BODY_WEIGHT, fv.BODY_FAT))
         if role == "appointment":
             df = done_appointments(df)
-        return df.select("patient_id", *[c.alias(n) for n, c in columns[role].items()])
+        return df.selectExpr("patient_id", *[f"{c} AS {n}" for n, c in columns[role].items()])
 
     frames = [rows(role) for role in columns]
     union = frames[0]

@@ -402,7 +402,7 @@ def count_distinct_case(ctx):
 @query
 def count_filter(ctx):
     names = ("n_users", "n_not_onboarded", "n_on_track", "n_off_track", "n_no_contact", "n_no_meal", "n_no_weight")
-    conds = aggregates.summary_conditions(*aggregates.TODAY).values()
+    conds = aggregates.summary_conditions().values()
     return aggregates.conditional_counts(
         features.summary_features(ctx), ["cohort"], dict(zip(names, conds, strict=True))
     )
