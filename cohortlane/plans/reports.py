@@ -60,12 +60,10 @@ def report_summary_comparison(ctx: ReportContext) -> DataFrame:
 # --- per-cohort user tables ---------------------------------------------------
 
 
-def user_table(ctx: ReportContext, plan_type: str | None = None) -> DataFrame:
-    """One row per active patient; ``track`` still holds the goal weight here."""
+def user_flags(ctx: ReportContext, plan_type: str | None = None, active: bool = False) -> DataFrame:
+    """One row per active patient with what is asked of them; ``track`` still holds the goal weight."""
     members = join_consultant(cohort_base(ctx, plan_type), ctx.role("consultants"))
-    joined = join_features(
-        members, [engagement(ctx, active=True), side_effect_texts(ctx), recent_active_days(ctx)]
-    )
+    joined = join_features(members, [engagement(ctx, active=active)])
     columns = today_columns(ctx)
     return joined.select(
         "patient_id",
@@ -74,17 +72,23 @@ def user_table(ctx: ReportContext, plan_type: str | None = None) -> DataFrame:
         F.col("nutritionist_id").alias("consultant_id"),
         "consultant_name",
         "plan_name",
-        columns["user_onboarded"].alias("user_onboarded"),
         round2(F.col("goal_weight")).alias("track"),
-        columns["days_since_contact"].alias("days_since_contact"),
-        F.coalesce("side_effects", F.lit(fv.NONE_TEXT)).alias("side_effects"),
-        columns["meal_log"].alias("meal_log"),
-        columns["weight_log"].alias("weight_log"),
-        F.coalesce("active_days", F.lit(0)).alias("active_days"),
-        "last_active_day",
+        *[columns[c].alias(c) for c in ("user_onboarded", "days_since_contact", "meal_log", "weight_log")],
+        *(["last_active_day"] if active else []),
     )
 
 
+def user_table(ctx: ReportContext, plan_type: str | None = None) -> DataFrame:
+    """The flags with side effects and active days."""
+    users = user_flags(ctx, plan_type, active=True)
+    joined = join_features(users, [side_effect_texts(ctx), recent_active_days(ctx)])
+    filled = {
+        "side_effects": F.coalesce("side_effects", F.lit(fv.NONE_TEXT)),
+        "active_days": F.coalesce("active_days", F.lit(0)),
+    }
+    return joined.withColumns(filled).select("patient_id", "cohort", *fv.USER_HEADINGS)
+
+
 def report_coach_app_users(ctx: ReportContext) -> DataFrame:
     return titled(user_table(ctx, fv.COACH_APP), fv.USER_HEADINGS)
 
@@ -189,24 +193,25 @@ SHEET_REASONS = {
 }
 
 
+def with_reasons(users: DataFrame) -> DataFrame:
+    """Rows that carry the sheet's reasons: each replaces a "No" and marks the cell."""
+    marked = {
+        fv.USER_HEADINGS[c]: F.when(is_no(F.col(c)) & (F.col(reason) != ""), fv.CELL_REASON)
+        for c, reason in SHEET_REASONS.items()
+    }
+    replaced = {c: reason_override(F.col(c), F.col(reason)) for c, reason in SHEET_REASONS.items()}
+    return users.withColumns({"cell_classes": class_map(marked), **replaced}).drop(*SHEET_REASONS.values())
+
+
 def annotate(users: DataFrame, full: DataFrame, sheet: DataFrame, ctx: ReportContext) -> DataFrame:
     """Track status and the sheet's reasons in place of the raw flags.
 
     Both lookups are joined to each other first (one row per name on either side), so
     the users meet them in a single join whose other side is unique per name.
     """
-    joined = lookup_join(users, "patient_name", progress_by_name(full, sheet, ctx))
-    marked = {
-        fv.USER_HEADINGS[c]: F.when(is_no(F.col(c)) & (F.col(reason) != ""), fv.CELL_REASON)
-        for c, reason in SHEET_REASONS.items()
-    }
-    return joined.withColumns(
-        {
-            "cell_classes": class_map(marked),
-            "track": F.coalesce("progress", F.lit(fv.DATA_INCOMPLETE)),
-            **{c: reason_override(F.col(c), F.col(reason)) for c, reason in SHEET_REASONS.items()},
-        }
-    ).select(*users.columns, "cell_classes")
+    joined = with_reasons(lookup_join(users, "patient_name", progress_by_name(full, sheet, ctx)))
+    track = F.coalesce("progress", F.lit(fv.DATA_INCOMPLETE))
+    return joined.withColumn("track", track).select(*users.columns, "cell_classes")
 
 
 def annotated_table(ctx: ReportContext) -> DataFrame:
@@ -215,6 +220,29 @@ def annotated_table(ctx: ReportContext) -> DataFrame:
     )
 
 
+def annotated_track(ctx: ReportContext) -> DataFrame:
+    """Cohort and track status of the annotated users, without the joins their other columns need."""
+
+    def build() -> DataFrame:
+        users = cohort_base(ctx).select("patient_id", "cohort", trim_alias(F.col("firstname"), "patient_name"))
+        names = progress_by_name(progress_inputs(ctx), ctx.role("sheet"), ctx)
+        joined = lookup_join(users, "patient_name", names.select("name_key", "progress"))
+        track = F.coalesce("progress", F.lit(fv.DATA_INCOMPLETE)).alias("track")
+        return joined.select("patient_id", "cohort", track)
+
+    return ctx.shared("annotated", build)
+
+
+def annotated_flags(ctx: ReportContext) -> DataFrame:
+    """The flags of the annotated users with the sheet's reasons, likewise without other joins."""
+
+    def build() -> DataFrame:
+        reasons = sheet_lookup(ctx.role("sheet")).select("name_key", *SHEET_REASONS.values())
+        return with_reasons(lookup_join(user_flags(ctx), "patient_name", reasons))
+
+    return ctx.shared("annotated", build)
+
+
 def report_annotated_users(ctx: ReportContext, plan_type: str | None = None) -> DataFrame:
     """The user tables as published, with ``__cell_classes__`` telling which cells were replaced."""
     users = annotated_table(ctx)
@@ -224,10 +252,10 @@ def report_annotated_users(ctx: ReportContext, plan_type: str | None = None) ->
 
 
 def report_summary_final(ctx: ReportContext) -> DataFrame:
-    final = recount(summary_table(ctx), annotated_table(ctx))
+    final = recount(summary_table(ctx), annotated_track(ctx))
     return titled(sorted_report(final, ["sort_order"]), fv.SUMMARY_HEADINGS)
 
 
 def report_actions_required(ctx: ReportContext) -> DataFrame:
-    actions = sorted_report(consultant_actions(annotated_table(ctx)), ["consultant", "action_order"])
+    actions = sorted_report(consultant_actions(annotated_flags(ctx)), ["consultant", "action_order"])
     return titled(actions, fv.ACTION_HEADINGS)

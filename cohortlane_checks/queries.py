@@ -444,7 +444,7 @@ def sync_stats(ctx):
 @query
 def consultant_actions(ctx):
     """Over the users as queried, before any sheet reason is put in."""
-    return aggregates.consultant_actions(reports.user_table(ctx))
+    return aggregates.consultant_actions(reports.user_flags(ctx))
 
 
 # --- windows ------------------------------------------------------------------
@@ -542,7 +542,7 @@ def metric_rows_union(ctx):
 
 @query
 def detail_concat(ctx):
-    coach, glp = reports.user_table(ctx, fv.COACH_APP), reports.user_table(ctx, fv.GLP)
+    coach, glp = reports.user_flags(ctx, fv.COACH_APP), reports.user_flags(ctx, fv.GLP)
     return sets.concat_rows(coach, glp).select("patient_id", "cohort", "patient_name", "consultant_name")
 
 
@@ -718,12 +718,12 @@ def parse_date_multi(ctx):
 
 @query
 def progress_status(ctx):
-    return reports.annotated_table(ctx).select("patient_id", "track")
+    return reports.annotated_track(ctx).select("patient_id", "track")
 
 
 @query
 def reason_override(ctx):
-    return reports.annotated_table(ctx).select("patient_id", "user_onboarded", "meal_log", "weight_log")
+    return reports.annotated_flags(ctx).select("patient_id", "user_onboarded", "meal_log", "weight_log")
 
 
 @query
@@ -753,7 +753,7 @@ def json_cell(ctx):
 
 @query
 def days_label(ctx):
-    users = reports.user_table(ctx)
+    users = reports.user_flags(ctx)
     label = text.days_label(F.col("patient_name"), F.col("days_since_contact"))
     return users.select("patient_id", label.alias("label"))
 
