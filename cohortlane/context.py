@@ -12,6 +12,9 @@ from . import fixed_values as fv
 
 RoleReader = Callable[[str], DataFrame]
 
+# Days are cut in the session zone; role tables hold UTC.
+_UTC = {"UTC", "Etc/UTC", "GMT", "Z", "+00:00"}
+
 
 @dataclass(frozen=True)
 class ReportContext:
@@ -30,11 +33,19 @@ class ReportContext:
     team_phones: tuple[str, ...] | DataFrame = ()
     team_excluded_names: tuple[str, ...] = ()
     window_mode: str = "literal"
+    # How a user finds their weights for the progress status: by "name" (equal names share the
+    # status of the last) or by "id".
+    progress_key: str = "name"
     lead_source: str = "App Signup"
     lead_system: str = "member app"
     run_ts: dt.datetime = dt.datetime(2024, 1, 31, 6, 0, 0)
     _memo: dict[str, DataFrame] = field(default_factory=dict, repr=False, compare=False)
 
+    def __post_init__(self) -> None:
+        zone = self.spark.conf.get("spark.sql.session.timeZone")
+        if zone not in _UTC:
+            raise ValueError(f"spark.sql.session.timeZone must be UTC, not {zone}")
+
     def role(self, name: str) -> DataFrame:
         return self.read(name)
 

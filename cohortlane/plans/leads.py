@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
@@ -20,7 +21,7 @@ from ..functions.phones import normalize_phone, spread_blank
 from ..functions.text import blank_to_null, full_name
 from ..operators.filters import member_plans, with_reject_reason
 from ..operators.joins import distinct_phones
-from ..sources.sinks import append_table
+from ..sources.sinks import append_table, write_report, written_table
 
 
 def report_contact_leads(ctx: ReportContext) -> DataFrame:
@@ -163,3 +164,30 @@ def lead_sync(ctx: ReportContext) -> LeadSync:
         outcomes=outcomes,
         stats=sync_stats(outcomes),
     )
+
+
+def known_leads(spark: SparkSession, path: str) -> DataFrame:
+    """Phone keys of a lead table this module appends to; none when there is no table yet."""
+    try:
+        stored = spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "phone_key STRING")
+    return stored.select(normalize_phone(F.col("phone_number")).alias("phone_key")).distinct()
+
+
+def run_lead_sync(ctx: ReportContext, lead_table: str, folder: str) -> LeadSync:
+    """Sync into ``lead_table`` and keep rejects and statistics below ``folder``.
+
+    The outcomes are written once and everything else is derived from them.  Known
+    leads come from the table itself, so a repeated run finds its leads and adds none.
+    """
+    known = known_leads(ctx.spark, lead_table)
+    outcomes = sync_outcomes(signups(ctx), active_customers(ctx), known)
+    ctx = ctx.pinned({"lead_outcomes": written_table(outcomes, folder, "outcomes")})
+    sync = lead_sync(ctx)
+    sync.append_leads(lead_table)
+    write_report(sync.rejects, folder, "rejects")
+    write_report(sync.stats, folder, "stats")
+    return sync

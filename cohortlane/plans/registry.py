@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fv
 from ..context import ReportContext
 from ..operators.sets import concat_rows
-from ..sources.sinks import describe_failure, shared_folder, table_name, write_report, written_table
+from ..sources.sinks import append_table, describe_failure, shared_folder, write_report, written_table
 from . import features, leads, reports, streaks
 
 Builder = Callable[[ReportContext], DataFrame]
@@ -66,6 +67,34 @@ def publish(
     return paths, failures
 
 
+@dataclass(frozen=True)
+class Flow:
+    """Reports published together.  ``strict``: one failure stops the rest."""
+
+    reports: dict[str, Builder]
+    strict: bool = False
+
+
+FLOWS = {
+    "user_analytics": Flow(USER_ANALYTICS),
+    "leads": Flow(LEADS, strict=True),
+    "team": Flow(TEAM),
+}
+
+
+def run_flow(
+    ctx: ReportContext, name: str, folder: str, signups_table: str | None = None
+) -> tuple[dict[str, str], dict[str, str]]:
+    """Publish one flow below ``folder``; the lead flow also appends its signups to a table."""
+    flow = FLOWS[name]
+    if name == "user_analytics":
+        ctx = pin(ctx)
+    paths, failures = publish(ctx, folder, list(flow.reports), flow.strict)
+    if signups_table and fv.TITLE_SIGNUPS in paths:
+        append_table(ctx.spark.read.parquet(paths[fv.TITLE_SIGNUPS]), signups_table)
+    return paths, failures
+
+
 def row_counts(frames: dict[str, DataFrame]) -> DataFrame:
     """One row per heading with its position and number of rows."""
     return concat_rows(
@@ -81,5 +110,3 @@ def row_counts(frames: dict[str, DataFrame]) -> DataFrame:
 def published_counts(ctx: ReportContext, paths: dict[str, str]) -> DataFrame:
     return row_counts({name: ctx.spark.read.parquet(path) for name, path in paths.items()})
 
-
-__all__ = ["ALL", "pin", "publish", "published_counts", "row_counts", "run_reports", "table_name"]

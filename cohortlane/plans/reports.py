@@ -5,7 +5,7 @@ Builders work on snake_case columns; ``titled`` puts on the display headings las
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
@@ -163,26 +163,40 @@ def report_full_analytics(ctx: ReportContext) -> DataFrame:
 
 def analytics_lookup(full: DataFrame) -> DataFrame:
     """Weights by patient name; of equal names the last in report order counts."""
-    values = ["start_weight", "goal_weight", "current_weight", "actual_loss"]
-    return last_per_name(full, "patient_name", values, F.struct("cohort", "patient_name", "patient_id"))
+    return last_per_name(full, "patient_name", list(PROGRESS_INPUTS), F.struct("cohort", "patient_name", "patient_id"))
+
+
+def sheet_entries(sheet: DataFrame) -> DataFrame:
+    """Sheet by name, its dose text parsed once per name, below the join."""
+    entries = sheet_lookup(sheet).withColumn("dose_day", parse_date_multi(F.col("glp_1st_dose")))
+    return entries.drop("glp_1st_dose")
+
+
+PROGRESS_INPUTS = ("start_weight", "goal_weight", "current_weight", "actual_loss")
+
+
+def progress_column(ctx: ReportContext) -> Column:
+    return progress_status(*[F.col(c) for c in PROGRESS_INPUTS], F.col("dose_day"), day(ctx.as_of))
 
 
 def progress_by_name(full: DataFrame, sheet: DataFrame, ctx: ReportContext) -> DataFrame:
-    """Track status and sheet reasons by patient name.
+    """Track status and sheet reasons by patient name."""
+    joined = analytics_lookup(full).join(sheet_entries(sheet), "name_key", "left")
+    return joined.select("name_key", progress_column(ctx).alias("progress"), *SHEET_REASONS.values())
 
-    The sheet's dose text is parsed once per sheet name, below the join.
+
+def join_progress(users: DataFrame, full: DataFrame, sheet: DataFrame, ctx: ReportContext) -> DataFrame:
+    """Users with ``progress`` and the sheet's reasons.
+
+    By name, both lookups are joined to each other first (one row per name on either
+    side), so the users meet them in a single join whose other side is unique per name.
+    By id, each patient keeps the weights of their own and only the sheet goes by name.
     """
-    entries = sheet_lookup(sheet).withColumn("dose_day", parse_date_multi(F.col("glp_1st_dose")))
-    status = progress_status(
-        F.col("start_weight"),
-        F.col("goal_weight"),
-        F.col("current_weight"),
-        F.col("actual_loss"),
-        F.col("dose_day"),
-        day(ctx.as_of),
-    )
-    joined = analytics_lookup(full).join(entries.drop("glp_1st_dose"), "name_key", "left")
-    return joined.select("name_key", status.alias("progress"), *SHEET_REASONS.values())
+    if ctx.progress_key == "name":
+        return lookup_join(users, "patient_name", progress_by_name(full, sheet, ctx))
+    own = full.select("patient_id", *PROGRESS_INPUTS)
+    joined = lookup_join(join_features(users, [own]), "patient_name", sheet_entries(sheet))
+    return joined.withColumn("progress", progress_column(ctx)).drop(*PROGRESS_INPUTS, "dose_day")
 
 
 # Report column -> sheet column whose text replaces a "No".
@@ -204,12 +218,8 @@ def with_reasons(users: DataFrame) -> DataFrame:
 
 
 def annotate(users: DataFrame, full: DataFrame, sheet: DataFrame, ctx: ReportContext) -> DataFrame:
-    """Track status and the sheet's reasons in place of the raw flags.
-
-    Both lookups are joined to each other first (one row per name on either side), so
-    the users meet them in a single join whose other side is unique per name.
-    """
-    joined = with_reasons(lookup_join(users, "patient_name", progress_by_name(full, sheet, ctx)))
+    """Track status and the sheet's reasons in place of the raw flags."""
+    joined = with_reasons(join_progress(users, full, sheet, ctx))
     track = F.coalesce("progress", F.lit(fv.DATA_INCOMPLETE))
     return joined.withColumn("track", track).select(*users.columns, "cell_classes")
 
@@ -225,8 +235,7 @@ def annotated_track(ctx: ReportContext) -> DataFrame:
 
     def build() -> DataFrame:
         users = cohort_base(ctx).select("patient_id", "cohort", trim_alias(F.col("firstname"), "patient_name"))
-        names = progress_by_name(progress_inputs(ctx), ctx.role("sheet"), ctx)
-        joined = lookup_join(users, "patient_name", names.select("name_key", "progress"))
+        joined = join_progress(users, progress_inputs(ctx), ctx.role("sheet"), ctx)
         track = F.coalesce("progress", F.lit(fv.DATA_INCOMPLETE)).alias("track")
         return joined.select("patient_id", "cohort", track)
 
