@@ -7,6 +7,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import fixed_values as fv
 
@@ -39,6 +40,8 @@ class ReportContext:
     lead_source: str = "App Signup"
     lead_system: str = "member app"
     run_ts: dt.datetime = dt.datetime(2024, 1, 31, 6, 0, 0)
+    # Patients the run is about, when they are known to be few (see plans.registry.scope_to).
+    scope: DataFrame | None = None
     _memo: dict[str, DataFrame] = field(default_factory=dict, repr=False, compare=False)
 
     def __post_init__(self) -> None:
@@ -49,6 +52,16 @@ class ReportContext:
     def role(self, name: str) -> DataFrame:
         return self.read(name)
 
+    def facts(self, name: str) -> DataFrame:
+        """A role with a ``patient_id``, only the patients in scope.
+
+        The scope has been counted, so it is broadcast: rows of other patients go
+        before anything is aggregated or shuffled.
+        """
+        if self.scope is None:
+            return self.role(name)
+        return self.role(name).join(F.broadcast(self.scope), "patient_id", "left_semi")
+
     @property
     def yesterday(self) -> dt.date:
         return self.days_back(1)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -117,7 +115,3 @@ def strip_text(name: str) -> str:
 def first_filled(columns: list[Column]) -> Column:
     """The first column whose text is neither NULL nor empty."""
     return F.coalesce(*[F.nullif(c, F.lit("")) for c in columns])
-
-
-def all_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)

@@ -65,7 +65,7 @@ def in_table(df: DataFrame, column: str, listed: DataFrame) -> DataFrame:
 
 def severe_side_effects(ctx: ReportContext) -> DataFrame:
     """Patient-reported effects of the last seven days, the mild ones left out."""
-    return ctx.role("patientsideeffects").filter(
+    return ctx.facts("patientsideeffects").filter(
         (F.col("creator") == fv.REPORTED_BY_PATIENT)
         & lookback(F.col("date"), ctx.as_of, 7)
         & ~F.lower("type").isin(*fv.MILD_SIDE_EFFECTS)

@@ -39,7 +39,7 @@ ACTIVITY_ROLES = ("activity", "patientfoodlogs", "metrics")
 def activity_rows(ctx: ReportContext, cond: Column | None = None) -> DataFrame:
     frames = []
     for role in ACTIVITY_ROLES:
-        rows = ctx.role(role) if cond is None else ctx.role(role).filter(cond)
+        rows = ctx.facts(role) if cond is None else ctx.facts(role).filter(cond)
         frames.append(rows.select("patient_id", F.to_date("date").alias("activity_date")))
     return concat_rows(*frames)
 

@@ -24,7 +24,7 @@ from ..operators.aggregates import agg_text
 from ..operators.filters import active_cohort, done_appointments, severe_side_effects, started
 from ..operators.joins import join_features, last_consultant_message
 from ..operators.sets import ACTIVITY_ROLES, active_days
-from ..operators.windows import latest_weights
+from ..operators.windows import latest_note, latest_weights
 
 
 def engagement_rows(ctx: ReportContext, prev: bool, active: bool) -> DataFrame:
@@ -65,8 +65,8 @@ def engagement_rows(ctx: ReportContext, prev: bool, active: bool) -> DataFrame:
     def rows(role: str) -> DataFrame:
         if role == "messages":
             latest = {n: F.expr(f"max({c})") for n, c in columns[role].items()}
-            return last_consultant_message(ctx.role("chats"), ctx.role(role), latest)
-        df = ctx.role(role)
+            return last_consultant_message(ctx.facts("chats"), ctx.role(role), latest)
+        df = ctx.facts(role)
         if role == "metrics" and not active:
             df = df.filter(F.col("name").isin(fv.BODY_WEIGHT, fv.BODY_FAT))
         if role == "appointment":
@@ -97,7 +97,7 @@ def last_contact(prev_note: str | None = None) -> Column:
 
 
 def weights(ctx: ReportContext) -> DataFrame:
-    return ctx.shared("weights", lambda: latest_weights(ctx.role("metrics"), ctx.as_of))
+    return ctx.shared("weights", lambda: latest_weights(ctx.facts("metrics"), ctx.as_of))
 
 
 def recent_active_days(ctx: ReportContext) -> DataFrame:
@@ -105,7 +105,13 @@ def recent_active_days(ctx: ReportContext) -> DataFrame:
 
 
 def side_effect_texts(ctx: ReportContext) -> DataFrame:
-    return agg_text(severe_side_effects(ctx), "patient_id", "type", "side_effects")
+    return ctx.shared(
+        "side_effects", lambda: agg_text(severe_side_effects(ctx), "patient_id", "type", "side_effects")
+    )
+
+
+def notes(ctx: ReportContext) -> DataFrame:
+    return ctx.shared("notes", lambda: latest_note(ctx.facts("patientnotes")))
 
 
 def cohort_base(ctx: ReportContext, plan_type: str | None = None) -> DataFrame:

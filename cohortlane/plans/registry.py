@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,13 +36,36 @@ def run_reports(ctx: ReportContext, names: list[str] | None = None) -> dict[str,
     return {name: ALL[name](ctx) for name in (names or list(ALL))}
 
 
-def pin(ctx: ReportContext, folder: str | None = None) -> ReportContext:
-    """Write the feature frames several reports share and let later plans read them."""
+# Ids that may be broadcast; a long takes some 30 bytes in the hash table of a join.
+SCOPE_LIMIT = 1_000_000
+
+
+def scope_to(ctx: ReportContext, ids: DataFrame, folder: str, limit: int = SCOPE_LIMIT) -> ReportContext:
+    """Limit the facts of a run to the patients ``ids``, provided they turn out to be few.
+
+    The ids are written and counted.  Up to ``limit`` they are broadcast against every
+    fact table; beyond it the run reads all facts, with the same result.
+    """
+    stored = written_table(ids.select("patient_id").distinct(), folder, "scope")
+    return replace(ctx, scope=stored) if stored.count() <= limit else ctx
+
+
+def pin(
+    ctx: ReportContext, folder: str | None = None, scope_limit: int = SCOPE_LIMIT
+) -> ReportContext:
+    """Write the cohort features several reports share and let later plans read them.
+
+    Only the features are limited to the cohorts; the context itself stays without a
+    scope, as a team report may follow other patients.
+    """
     folder = folder or shared_folder(ctx.spark)
+    scoped = scope_to(ctx, features.cohort_base(ctx), folder, scope_limit)
     frames = {
-        "engagement": features.engagement(ctx, prev=True, active=True),
-        "weights": features.weights(ctx),
-        "active_days": features.recent_active_days(ctx),
+        "engagement": features.engagement(scoped, prev=True, active=True),
+        "weights": features.weights(scoped),
+        "active_days": features.recent_active_days(scoped),
+        "side_effects": features.side_effect_texts(scoped),
+        "notes": features.notes(scoped),
     }
     ctx = ctx.pinned({name: written_table(df, folder, name) for name, df in frames.items()})
     return ctx.pinned({"annotated": written_table(reports.annotated_table(ctx), folder, "annotated")})
@@ -89,6 +112,8 @@ def run_flow(
     flow = FLOWS[name]
     if name == "user_analytics":
         ctx = pin(ctx)
+    if name == "team":
+        ctx = scope_to(ctx, streaks.team_targets(ctx), shared_folder(ctx.spark))
     paths, failures = publish(ctx, folder, list(flow.reports), flow.strict)
     if signups_table and fv.TITLE_SIGNUPS in paths:
         append_table(ctx.spark.read.parquet(paths[fv.TITLE_SIGNUPS]), signups_table)

@@ -29,10 +29,10 @@ from ..operators.joins import (
     sheet_lookup,
 )
 from ..operators.sets import sorted_report
-from ..operators.windows import latest_note
 from .features import (
     cohort_base,
     engagement,
+    notes,
     recent_active_days,
     side_effect_texts,
     since,
@@ -119,7 +119,7 @@ def full_table(ctx: ReportContext) -> DataFrame:
         [
             engagement(ctx, active=True),
             weights(ctx).select("patient_id", "current_weight"),
-            latest_note(ctx.role("patientnotes")),
+            notes(ctx),
             recent_active_days(ctx),
         ],
     )

@@ -23,7 +23,7 @@ LOG_ROLES = {"food": "patientfoodlogs", "habit": "patienthabitlogs", "activity":
 
 
 def log_tables(ctx: ReportContext) -> dict[str, DataFrame]:
-    return {name: ctx.role(role) for name, role in LOG_ROLES.items()}
+    return {name: ctx.facts(role) for name, role in LOG_ROLES.items()}
 
 
 def team_targets(ctx: ReportContext) -> DataFrame:
@@ -52,7 +52,7 @@ def daily_logs(ctx: ReportContext) -> DataFrame:
 
 def weight_logged(ctx: ReportContext) -> DataFrame:
     first = ctx.yesterday - dt.timedelta(days=6)
-    return logged_within(body_weights(ctx.role("metrics")), "date", first, ctx.yesterday, "weight_logged")
+    return logged_within(body_weights(ctx.facts("metrics")), "date", first, ctx.yesterday, "weight_logged")
 
 
 def team_streaks(ctx: ReportContext) -> DataFrame:

@@ -139,3 +139,16 @@ def test_scans_read_only_what_is_used(stored):
 def test_every_report_is_planned(stored):
     assert list(registry.run_reports(stored)) == list(registry.ALL)
     assert len(reports.report_full_analytics(stored).columns) == 22
+
+
+def test_scope_drops_other_patients_before_the_aggregation(spark, ctx, tmp_path):
+    small = registry.scope_to(ctx, features.cohort_base(ctx), str(tmp_path))
+    assert small.scope.count() == features.cohort_base(ctx).count()
+    plan = plan_of(features.weights(small))
+    join, aggregate = plan.index("BroadcastHashJoin"), plan.index("partial_max_by")
+    assert aggregate < join  # plans are printed top-down: the join lies below
+    in_scope = features.weights(ctx).join(small.scope, "patient_id", "left_semi")
+    assert features.weights(small).exceptAll(in_scope).count() == 0
+    assert features.weights(small).count() == in_scope.count()
+    streaks_small = streaks.team_streaks(registry.scope_to(ctx, streaks.team_targets(ctx), str(tmp_path / "t")))
+    assert streaks_small.exceptAll(streaks.team_streaks(ctx)).count() == 0
