@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import fixed_values as fv
 from ..context import ReportContext
 from ..functions.dates import day
 from .filters import active_cohort, done_appointments
@@ -60,10 +59,6 @@ def all_cohorts(ctx: ReportContext) -> DataFrame:
     return active_cohort(ctx)
 
 
-def coach_then_glp(ctx: ReportContext) -> DataFrame:
-    return concat_rows(active_cohort(ctx, fv.COACH_APP), active_cohort(ctx, fv.GLP))
-
-
 def spine_start(ctx: ReportContext) -> dt.date:
     return min(ctx.streak_start, ctx.yesterday - dt.timedelta(days=30))
 

@@ -184,14 +184,3 @@ def summary_features(ctx: ReportContext) -> DataFrame:
         "track_prev": status_column(day(ctx.yesterday), "current_weight_prev"),
     }
     return joined.select("patient_id", "cohort", "in_prev", *[c.alias(n) for n, c in columns.items()])
-
-
-def active_with_status(ctx: ReportContext) -> DataFrame:
-    """Active patients with latest weight and track status."""
-    joined = join_features(cohort_base(ctx), [weights(ctx)])
-    return joined.select(
-        "patient_id",
-        "cohort",
-        "current_weight",
-        status_column(day(ctx.as_of), "current_weight").alias("track"),
-    )

@@ -31,7 +31,7 @@ QUERIES: dict[str, Query] = {}
 
 def make_context(spark: SparkSession, folder: str) -> ReportContext:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    ctx = ReportContext(
+    return ReportContext(
         spark=spark,
         read=standin_reader(spark, folder),
         as_of=AS_OF,
@@ -39,7 +39,10 @@ def make_context(spark: SparkSession, folder: str) -> ReportContext:
         streak_start=STREAK_START,
         team_excluded_names=TEAM_LEFT_OUT,
     )
-    # The whole patients table is followed, so that the report grows with it.
+
+
+def followed(ctx: ReportContext) -> ReportContext:
+    """With the whole patients table as the team, so that its report grows with the data."""
     return replace(ctx, team_phones=ctx.role("patients").select("phone").filter("phone IS NOT NULL"))
 
 
@@ -66,7 +69,7 @@ def scan_role(ctx):
 
 @query
 def report_registry(ctx):
-    return registry.row_counts(registry.run_reports(ctx))
+    return registry.row_counts(registry.run_reports(followed(ctx)))
 
 
 @query
@@ -91,7 +94,7 @@ def lead_upsert(ctx):
 
 @query
 def report_output(ctx):
-    pinned = registry.pin(ctx)
+    pinned = registry.pin(followed(ctx))
     paths, failures = registry.publish(pinned, sinks.shared_folder(ctx.spark))
     if failures:
         raise RuntimeError(f"reports failed: {failures}")
@@ -286,7 +289,7 @@ def feature_left_joins(ctx):
 
 @query
 def status_inner_join(ctx):
-    targets = streaks.team_targets(ctx)
+    targets = streaks.team_targets(followed(ctx))
     day_rows = joins.cross_dates(targets.select("patient_id"), ctx.yesterday, ctx.yesterday)
     only = dates.on_day(F.col("date"), ctx.yesterday)
     status = joins.exists_by_day(day_rows, streaks.log_tables(ctx), only)
@@ -507,7 +510,7 @@ def sort_two_keys(ctx):
 
 @query
 def sort_name(ctx):
-    return sets.sorted_report(streaks.team_targets(ctx), ["name", "patient_id"])
+    return sets.sorted_report(streaks.team_targets(followed(ctx)), ["name", "patient_id"])
 
 
 @query
@@ -532,7 +535,7 @@ def activity_union_distinct(ctx):
 
 @query
 def cohort_union_all(ctx):
-    return sets.coach_then_glp(ctx).select("id", "cohort")
+    return sets.all_cohorts(ctx).select("id", "cohort")
 
 
 @query
@@ -626,7 +629,7 @@ def full_name(ctx):
 
 @query
 def inactivity_reason(ctx):
-    return streaks.team_streaks(ctx).select("patient_id", "reason")
+    return streaks.team_streaks(followed(ctx)).select("patient_id", "reason")
 
 
 @query
@@ -733,7 +736,7 @@ def format_rules(ctx):
         "patient_id", *[F.col(c).alias(h) for c, h in fv.FULL_HEADINGS.items() if c != "patient_name"]
     )
     users = rules.format_rules(shown, ["patient_id"])
-    team = streaks.team_streaks(ctx).select(
+    team = streaks.team_streaks(followed(ctx)).select(
         "patient_id", *[F.col(c).alias(h) for c, h in fv.STREAK_HEADINGS.items() if c != "name"]
     )
     return sets.concat_rows(users, rules.format_rules(team, ["patient_id"], rules.TEAM_RULES))
@@ -788,7 +791,7 @@ def full_analytics(ctx):
 
 @query
 def team_streaks(ctx):
-    return reports.titled(streaks.team_streaks(ctx), {"patient_id": "patient_id", **fv.STREAK_HEADINGS})
+    return reports.titled(streaks.team_streaks(followed(ctx)), {"patient_id": "patient_id", **fv.STREAK_HEADINGS})
 
 
 @query

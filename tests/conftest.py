@@ -20,6 +20,8 @@ def spark():
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        # Hand-made tables have a few rows; eight slices of them would only add tasks.
+        .config("spark.default.parallelism", "2")
         .config("spark.sql.session.timeZone", "UTC")
         # Whole plans, so that tests can read them.
         .config("spark.sql.maxMetadataStringLength", "10000")

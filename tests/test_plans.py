@@ -10,7 +10,7 @@ import pytest
 from cohortlane.operators import filters
 from cohortlane.plans import features, leads, registry, reports, streaks
 from cohortlane.sources.roles import folder_reader
-from cohortlane_checks.queries import QUERIES, make_context
+from cohortlane_checks.queries import QUERIES, followed, make_context
 from tests.fixtures import PLANS, at, context, patient, tables
 
 # report_output writes tables when it is built; its reports are the ones of report_registry.
@@ -150,5 +150,23 @@ def test_scope_drops_other_patients_before_the_aggregation(spark, ctx, tmp_path)
     in_scope = features.weights(ctx).join(small.scope, "patient_id", "left_semi")
     assert features.weights(small).exceptAll(in_scope).count() == 0
     assert features.weights(small).count() == in_scope.count()
+    ctx = followed(ctx)
     streaks_small = streaks.team_streaks(registry.scope_to(ctx, streaks.team_targets(ctx), str(tmp_path / "t")))
     assert streaks_small.exceptAll(streaks.team_streaks(ctx)).count() == 0
+
+
+def test_cohorts_do_not_overlap(ctx):
+    both = filters.active_cohort(ctx).select("id", "cohort")
+    parts = [filters.active_cohort(ctx, kind).select("id", "cohort") for kind in filters.COHORTS]
+    assert both.exceptAll(parts[0].union(parts[1])).count() == 0
+    assert both.count() == parts[0].count() + parts[1].count()
+
+
+def test_cohort_is_shuffled_once_for_all_feature_joins(spark, folder):
+    """Every feature frame is partitioned by patient already; the joins add no further exchange."""
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        plan = plan_of(reports.full_table(make_context(spark, folder)))
+    joins = re.findall(r"SortMergeJoin \[patient_id#\d+L?\], \[patient_id", plan)
+    exchanges = re.findall(r"Exchange hashpartitioning\(patient_id#\d+L, 8\)", plan)
+    assert len(joins) == 4  # engagement, weight, note, active days
+    assert len(exchanges) == 1 + len(joins)
