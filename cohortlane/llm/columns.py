@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: What separates words, as a character class without its brackets.
 SPACE_CLASS = r"\x20\x09-\x0D"
@@ -24,3 +26,13 @@ def held_out(doc_id: str) -> Column:
     """True for the fifth of the ids that no label is learned from; a missing id is held out."""
     rest = F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(5))
     return F.coalesce(rest == 0, F.lit(True))
+
+
+def pack(docs: DataFrame, carry: Sequence[str] | None = None) -> Column:
+    """The columns of docs (those in carry, or all) as one struct "row", so that no name can clash."""
+    return F.struct(*[F.col(f"`{c}`") for c in (docs.columns if carry is None else carry)]).alias("row")
+
+
+def packed_schema(packed: DataFrame, **added: T.DataType) -> T.StructType:
+    """The type of a packed frame's row, and of the columns that an operator adds."""
+    return T.StructType([T.StructField("row", packed.schema["row"].dataType), *(T.StructField(n, t) for n, t in added.items())])

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .columns import SPACES, lower_ascii
+from .columns import SPACES, lower_ascii, pack
 from .store import Steps
 
 
@@ -45,7 +45,7 @@ def dedup_lines(
     spark = docs.sparkSession
     steps = Steps(spark, "line_dedup")
     salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    packed = docs.select(F.struct("*").alias("row"))
+    packed = docs.select(pack(docs))
     text, doc = F.coalesce(F.col(f"row.`{text_col}`"), F.lit("")), F.col(f"row.`{id_col}`")
     packed = packed.select("row", doc.alias("doc"), F.xxhash64(text).alias("version"))
 

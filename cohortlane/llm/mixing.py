@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .columns import SPACE_CLASS
+from .columns import SPACE_CLASS, pack
 from .store import Steps
 
 #: Documents that meet in one block on average. Blocks are drawn by hash, so none is much larger.
@@ -136,7 +136,7 @@ def mix_sources(
     spark = docs.sparkSession
     steps = Steps(spark, "mixing")
     packed = docs.select(
-        F.struct("*").alias("row"),
+        pack(docs),
         F.col(id_col).alias("id"),
         F.col(source_col).alias("source"),
         word_count(F.col(text_col)).alias("size"),

@@ -47,3 +47,31 @@ fits AS (
 SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
 FROM parts p LEFT JOIN fits f ON p.page_id = f.page_id AND f.place = 1
 """
+
+_ITEM_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+ORACLE["op9_decontamination"] = f"""
+WITH d AS (SELECT doc_id, {_ITEM_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_ITEM_WORDS} AS w FROM benchmark),
+sizes AS (
+    SELECT item_id, w, least(13, len(w)) AS k FROM b WHERE len(w) > 0),
+windows AS (
+    SELECT DISTINCT item_id, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS run
+    FROM (SELECT *, unnest(generate_series(1, len(w) - k + 1)) AS i FROM sizes)),
+lengths AS (SELECT DISTINCT k FROM sizes),
+places AS (
+    SELECT doc_id, k, i, array_to_string(list_slice(w, i, i + k - 1), ' ') AS run
+    FROM (SELECT doc_id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM d, lengths WHERE len(w) >= k)),
+met AS (SELECT p.doc_id, p.k, p.i, x.item_id FROM places p JOIN windows x ON p.k = x.k AND p.run = x.run),
+hit AS (
+    SELECT doc_id, count(DISTINCT j) AS n_hit
+    FROM (SELECT doc_id, unnest(generate_series(i, i + k - 1)) AS j FROM (SELECT DISTINCT doc_id, k, i FROM met))
+    GROUP BY doc_id),
+found AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM met) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)
+"""

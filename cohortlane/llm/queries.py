@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, url_filter
+from . import decontamination, language_id, line_dedup, mixing, quality, secrets, url_filter
+from .columns import held_out
 
 #: The rules of op10, as the contract gives them.
 URL_RULES = (
@@ -22,6 +23,35 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    done = secrets.scan_secrets(docs, carry=("doc_id",))
+    n = {k: F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long") for k in range(3)}
+    return done.select(
+        "row.doc_id",
+        n[0].alias("n_assign"),
+        n[1].alias("n_access"),
+        n[2].alias("n_hex"),
+        F.sha2(secrets.span_text(F.col("base")), 256).alias("base_sha256"),
+        secrets.span_text(F.concat("base", "random")).alias("spans"),
+    )
+
+
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = language_id.train(docs.filter(~held_out("doc_id")))
+    done = language_id.identify(docs.select("doc_id", "text"), model, carry=("doc_id",))
+    return done.select("row.doc_id", held_out("row.doc_id").alias("held_out"), "lang_pred", "score")
+
+
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", "quality")
+    model = quality.train(docs, labels.filter(~held_out("doc_id")))
+    done = quality.score_quality(docs, model, carry=("doc_id",))
+    return done.select("row.doc_id", held_out("row.doc_id").alias("held_out"), "score", "predicted")
+
+
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     done = line_dedup.dedup_lines(docs)
@@ -33,10 +63,33 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(docs).select("row.doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    items = table(spark, folder, "benchmark").select("item_id", "text")
+    done = decontamination.find_contamination(docs, items, carry=("doc_id",))
+    return done.select(
+        "row.doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, folder, "pages"), URL_RULES)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_line_dedup, op6_mixing, op10_url_filter)
+    f.__name__: f
+    for f in (
+        op1_secret_scan,
+        op2_language_id,
+        op3_quality,
+        op5_line_dedup,
+        op6_mixing,
+        op9_decontamination,
+        op10_url_filter,
+    )
 }

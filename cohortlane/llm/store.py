@@ -7,8 +7,10 @@ written. Nothing is kept in a machine-local folder.
 
 from __future__ import annotations
 
+import pickle
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -34,3 +36,20 @@ class Steps:
         jvm = self.spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+class Shared:
+    """A value that every task gets through a broadcast, with the code of its class."""
+
+    def __init__(self, spark: SparkSession, value: object):
+        self._sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+        self._here: list = []
+
+    def __getstate__(self) -> dict:
+        return {"_sent": self._sent, "_here": []}
+
+    @property
+    def value(self):
+        if not self._here:
+            self._here.append(pickle.loads(self._sent.value))
+        return self._here[0]
