@@ -75,3 +75,24 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)
 """
+
+_WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
+
+ORACLE["op8_substring_dedup"] = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+windows AS (
+    SELECT doc_id, i, md5(array_to_string(list_slice(w, i, i + 49), ' ')) AS run
+    FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 49)) AS i FROM d WHERE len(w) >= 50)),
+firsts AS (SELECT run, min(doc_id) AS first FROM windows GROUP BY run),
+gone AS (
+    SELECT DISTINCT doc_id, unnest(generate_series(i, i + 49)) AS i
+    FROM windows JOIN firsts USING (run) WHERE first < doc_id),
+places AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+kept AS (
+    SELECT p.doc_id, string_agg(word, ' ' ORDER BY p.i) FILTER (WHERE g.i IS NULL) AS words,
+           count(*) AS n_words, count(g.i) AS n_removed
+    FROM places p LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.i = g.i GROUP BY p.doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(words, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
