@@ -96,3 +96,19 @@ SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_re
        sha256(coalesce(words, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
 """
+
+ORACLE["op7_topk"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+long AS (SELECT vec_id, generate_subscripts(x, 1) AS i, unnest(x) AS c FROM v),
+scores AS (
+    SELECT q.vec_id AS query_id, o.vec_id, CAST(sum(q.c * o.c) AS BIGINT) AS score
+    FROM long q JOIN long o ON q.i = o.i AND q.vec_id <> o.vec_id
+    WHERE q.vec_id % 50 = 0 GROUP BY ALL)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
+WHERE rank <= 5
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, line_dedup, mixing, quality, secrets, substring_dedup, url_filter
+from . import decontamination, language_id, line_dedup, mixing, quality, secrets, substring_dedup, topk, url_filter
 from .columns import held_out
 
 #: The rules of op10, as the contract gives them.
@@ -63,6 +63,10 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(docs).select("row.doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     done = substring_dedup.dedup_passages(docs, carry=("doc_id",))
@@ -95,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_quality,
         op5_line_dedup,
         op6_mixing,
+        op7_topk,
         op8_substring_dedup,
         op9_decontamination,
         op10_url_filter,
