@@ -112,3 +112,27 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
 WHERE rank <= 5
 """
+
+ORACLE["op4_near_dedup"] = f"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\\x20\\x09-\\x0D]+') AS w
+    FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, md5(array_to_string(list_slice(w, i, i + k - 1), ' ')) AS s
+    FROM (
+        SELECT doc_id, w, least(5, len(w)) AS k, unnest(generate_series(1, len(w) - least(5, len(w)) + 1)) AS i
+        FROM d WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+    SELECT a, b FROM shared JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+    WHERE 100 * common >= 75 * (x.n + y.n - common)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, e.b FROM reach r JOIN edges e ON r.other = e.a)
+SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id, min(other) = d.doc_id AS kept
+FROM d LEFT JOIN sizes ON d.doc_id = sizes.doc_id JOIN reach r ON d.doc_id = r.doc_id
+GROUP BY d.doc_id
+"""

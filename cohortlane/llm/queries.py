@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, line_dedup, mixing, quality, secrets, substring_dedup, topk, url_filter
+from . import decontamination, language_id, line_dedup, mixing, near_dedup, quality, secrets, substring_dedup, topk, url_filter
 from .columns import held_out
 
 #: The rules of op10, as the contract gives them.
@@ -52,6 +52,12 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("row.doc_id", held_out("row.doc_id").alias("held_out"), "score", "predicted")
 
 
+def op4_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    done = near_dedup.find_near_duplicates(docs, carry=("doc_id",))
+    return done.select("row.doc_id", "n_shingles", "component_id", "kept")
+
+
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     done = line_dedup.dedup_lines(docs)
@@ -97,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_secret_scan,
         op2_language_id,
         op3_quality,
+        op4_near_dedup,
         op5_line_dedup,
         op6_mixing,
         op7_topk,
