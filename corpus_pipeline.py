@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlane.llm import line_dedup, mixing
+from cohortlane.llm import decontamination, language_id, line_dedup, mixing, near_dedup
+from cohortlane.llm.columns import held_out
 from cohortlane.llm.store import Steps
 
 
@@ -18,11 +19,32 @@ def _with_text(packed: DataFrame, columns: list[str], text: str) -> DataFrame:
     return packed.select(*own)
 
 
+def _rows(packed: DataFrame, columns: list[str]) -> DataFrame:
+    return packed.select(*[F.col("row")[c].alias(c) for c in columns])
+
+
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no language can be told (no letter, or no text) go; all others stay as they are."""
+    model = language_id.train(docs.filter(~held_out("doc_id")))
+    return _rows(language_id.identify(docs, model).filter(F.col("lang_pred") != language_id.UNKNOWN), docs.columns)
+
+
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that several documents hold stay in the first of them; a document may end up empty."""
     return _with_text(line_dedup.dedup_lines(docs), docs.columns, "kept_text")
 
 
+def keep_first_of_alike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id stays."""
+    return _rows(near_dedup.find_near_duplicates(docs).filter("kept"), docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of whose words a twentieth or more are benchmark passages go; all others stay whole."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return _rows(decontamination.find_contamination(docs, items).filter("NOT contaminated"), docs.columns)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What each kept document gives to the mix."""
     done = mixing.mix_sources(docs)
@@ -32,7 +54,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language ID", keep_known_languages),
     ("line dedup", drop_repeated_lines),
+    ("near dedup", keep_first_of_alike),
+    ("decontamination", drop_contaminated),
     ("mixing", mix),
 ]
 
