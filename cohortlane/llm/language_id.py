@@ -24,7 +24,7 @@ LENGTHS = (1, 2, 3)
 #: Most languages of a model: the matrix has 4 << BUCKET_BITS bytes for each.
 MAX_LANGUAGES = 500
 #: Characters that are looked up at once; longer texts are taken in pieces.
-PIECE = 1 << 20
+PIECE = 1 << 18
 UNKNOWN = "und"
 
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)

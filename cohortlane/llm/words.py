@@ -15,7 +15,7 @@ import pyarrow as pa
 #: Words are separated by these bytes.
 SPACES = b" \t\n\x0b\x0c\r"
 #: Documents are taken together until their texts have this many bytes; a longer one comes alone.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 _U64 = np.uint64
 _GOLD = _U64(0x9E3779B97F4A7C15)
