@@ -108,6 +108,13 @@ ACTION_HEADINGS = {
     "action": "Action",
     "patients": "Patients Pending",
 }
+ACTION_ITEM_HEADINGS = {
+    "consultant": "Consultant",
+    "action": "Action",
+    "label": "Patient Pending",
+}
+#: Columns that the published user tables leave out.
+HIDDEN_USER_COLUMNS = ("Consultant ID", "Consultant Name", "Subscription Name")
 
 # --- Fixed values: report titles ----------------------------------------------
 TITLE_SUMMARY = "Summary Comparison"
@@ -115,6 +122,7 @@ TITLE_COACH = "Coach +App User analytics"
 TITLE_GLP = "GLP User analytics"
 TITLE_FULL = "Full Analytics"
 TITLE_ACTIONS = "Actions Required"
+TITLE_ACTION_TEXTS = "Actions Required (lists)"
 TITLE_CONTACT_LEADS = "Contact-Me Form leads"
 TITLE_SIGNUPS = "New Signups"
 TITLE_STREAKS = "Team Streaks"
@@ -143,6 +151,7 @@ COLOUR_ORANGE = "#ff9900"
 # --- Fixed values: lead records -----------------------------------------------
 LEAD_SUB_SOURCE = "Daily Sync"
 LEAD_STATUS = "New"
+LEAD_NOTE = "Auto-synced from {system} on {time}\nOriginal signup time: "
 MIN_PHONE_DIGITS = 10
 REJECT_PHONE = "Invalid phone number"
 

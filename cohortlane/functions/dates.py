@@ -47,26 +47,27 @@ def latest_of(*c: Column) -> Column:
     return F.greatest(*c)
 
 
-def shift_zone(c: Column, zone: str, at: dt.date) -> Column:
-    """A UTC timestamp moved by the zone's offset on day ``at``."""
-    return c + F.expr(f"INTERVAL '{_offset_minutes(zone, at)}' MINUTE")
+def shift_zone(c: Column, zone: str) -> Column:
+    """A UTC timestamp as the zone's clocks showed it at that moment."""
+    return F.from_utc_timestamp(c, zone)
 
 
-def _offset_minutes(zone: str, at: dt.date) -> int:
-    noon = dt.datetime(at.year, at.month, at.day, 12, tzinfo=ZoneInfo(zone))
-    return int(noon.utcoffset().total_seconds() // 60)
+def _offset(zone: str, at: dt.datetime) -> dt.timedelta:
+    """The zone's offset at a local time."""
+    return at.replace(tzinfo=ZoneInfo(zone)).utcoffset()
 
 
 def tz_bounds(as_of: dt.date, zone: str, mode: str = "literal") -> tuple[dt.datetime, dt.datetime]:
     """UTC bounds of "yesterday".
 
     ``literal`` adds the zone offset to UTC midnight (00:00 + 05:30 for India);
-    ``local_day`` is the calendar day as the zone's inhabitants see it.
+    ``local_day`` is the calendar day as the zone's inhabitants see it.  Each bound has
+    the offset of its own midnight, so a day on which clocks change has 23 or 25 hours.
     """
     sign = {"literal": 1, "local_day": -1}[mode]
-    midnight = dt.datetime(as_of.year, as_of.month, as_of.day)
-    upper = midnight + sign * dt.timedelta(minutes=_offset_minutes(zone, as_of))
-    return upper - dt.timedelta(days=1), upper
+    upper = dt.datetime(as_of.year, as_of.month, as_of.day)
+    lower = upper - dt.timedelta(days=1)
+    return lower + sign * _offset(zone, lower), upper + sign * _offset(zone, upper)
 
 
 def tz_window(c: Column, as_of: dt.date, zone: str, mode: str = "literal") -> Column:

@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 
-# Wide enough for any double met in practice; the rounding itself is decimal, half away from zero.
+# The rounding is decimal, half away from zero. A double beyond this has no places to round.
 NUMERIC = "decimal(38,12)"
 
 
 def round2(c: Column) -> Column:
-    """Two decimals by decimal (not binary) rounding; a double again afterwards."""
-    return F.round(c.try_cast(NUMERIC), 2).cast("double")
+    """Two decimals by decimal (not binary) rounding; a double again afterwards.
+
+    What no decimal holds (1e26 and more, infinities, NaN) stays as it is.
+    """
+    return F.coalesce(F.round(c.try_cast(NUMERIC), 2).cast("double"), c.cast("double"))
 
 
 def safe_div(x: Column, d: Column) -> Column:

@@ -17,18 +17,18 @@ def normalize_phone(c: Column) -> Column:
     """Comparison key: punctuation and the Indian country code dropped, last ten digits."""
     compact = F.translate(strip(F.coalesce(c, F.lit(""))), " -()", "")
     local = (
-        F.when(compact.startswith("+91"), F.substring(compact, 4, 1 << 20))
-        .when(compact.startswith("91") & (F.length(compact) > 10), F.substring(compact, 3, 1 << 20))
+        F.when(compact.startswith("+91"), F.substr(compact, F.lit(4)))
+        .when(compact.startswith("91") & (F.length(compact) > 10), F.substr(compact, F.lit(3)))
         .otherwise(compact)
     )
     return F.right(digits_only(local), F.lit(10))
 
 
-def spread_blank(key: Column, row_id: Column, slots: int = 4096) -> Column:
+def spread_blank(key: Column, row_id: Column) -> Column:
     """A join key in which blank phones do not pile up in one task.
 
-    Blank keys match nothing; giving each row one of ``slots`` non-digit keys keeps
-    that true and spreads them over the partitions.
+    Blank keys match nothing; a non-digit key made of the row's own id keeps that true
+    and spreads them over the partitions.
     """
-    slot = F.pmod(F.xxhash64(row_id), F.lit(slots)).cast("string")
-    return F.when(key == "", F.concat(F.lit("~"), slot)).otherwise(key)
+    own = F.concat(F.lit("~"), F.coalesce(row_id.cast("string"), F.lit("")))
+    return F.when(key == "", own).otherwise(key)

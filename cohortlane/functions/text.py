@@ -35,6 +35,11 @@ def not_in_normalised(c: Column, names: tuple[str, ...]) -> Column:
     return ~F.lower(F.trim(c)).isin(*[n.strip().lower() for n in names])
 
 
+def not_in_lowered(c: Column, names: tuple[str, ...]) -> Column:
+    """Exclusion in any case; white space counts.  A NULL text is excluded too."""
+    return ~F.lower(c).isin(*[n.lower() for n in names])
+
+
 def full_name(first: Column, middle: Column, last: Column) -> Column:
     def optional(part: Column) -> Column:
         return F.when(part != "", F.concat(F.lit(" "), part)).otherwise("")

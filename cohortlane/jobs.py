@@ -26,8 +26,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--out", required=True, help="folder for the run's results")
     parser.add_argument("--as-of", required=True, type=dt.date.fromisoformat, help="the day taken as today")
     parser.add_argument("--sheet", help="sheet as CSV; without it the sheet role is read")
-    parser.add_argument("--nutritionists", default="", help="ids, comma-separated")
-    parser.add_argument("--team-phones", default="", help="phones, comma-separated")
+    parser.add_argument("--nutritionists", help="ids, comma-separated; without it patients of all are taken")
+    parser.add_argument("--team-phones", help="phones, comma-separated; without it all patients are followed")
+    parser.add_argument("--team-table", help="Parquet table with a phone column, for a long list")
     parser.add_argument("--team-leave-out", default="", help="names, comma-separated")
     parser.add_argument("--streak-start", type=dt.date.fromisoformat, default=dt.date(2024, 1, 1))
     parser.add_argument("--zone", default="Asia/Kolkata")
@@ -36,6 +37,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--signups-table", help="table the lead flow appends its signups to")
     parser.add_argument("--lead-table", help="table lead_sync inserts into")
     args = parser.parse_args(argv)
+    if args.team_phones is not None and args.team_table:
+        parser.error("either --team-phones or --team-table")
     if args.job == "lead_sync" and not args.lead_table:
         parser.error("lead_sync needs --lead-table")
     return args
@@ -53,18 +56,20 @@ def make_context(spark: SparkSession, args: argparse.Namespace) -> ReportContext
         def read(role):
             return sheet if role == "sheet" else roles(role)
 
+    team = None if args.team_phones is None else listed(args.team_phones)
+    if args.team_table:
+        team = spark.read.parquet(args.team_table).select("phone")
     return ReportContext(
         spark=spark,
         read=read,
         as_of=args.as_of,
         zone=args.zone,
-        nutritionists=tuple(int(n) for n in listed(args.nutritionists)),
-        team_phones=listed(args.team_phones),
+        nutritionists=None if args.nutritionists is None else tuple(int(n) for n in listed(args.nutritionists)),
+        team_phones=team,
         team_excluded_names=listed(args.team_leave_out),
         streak_start=args.streak_start,
         window_mode=args.window_mode,
         progress_key=args.progress_key,
-        run_ts=dt.datetime.now().replace(microsecond=0),
     )
 
 

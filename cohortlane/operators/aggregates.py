@@ -1,4 +1,4 @@
-"""Aggregations.  All of them combine on the map side before the shuffle."""
+"""Aggregations.  All of them combine on the map side; texts and structs are sorted there to do so."""
 
 from __future__ import annotations
 
@@ -13,10 +13,6 @@ from ..functions.text import is_no, signed
 from ..functions.text import days_label as label_with_days
 
 
-def last_date(df: DataFrame, c: str, name: str) -> DataFrame:
-    return df.groupBy("patient_id").agg(F.max(F.to_date(c)).alias(name))
-
-
 def present_since(df: DataFrame, c: str, as_of: dt.date, n: int, name: str) -> DataFrame:
     """'Yes' for every patient with a row on or after ``as_of - n`` days."""
     rows = df.filter(lookback(F.col(c), as_of, n))
@@ -183,9 +179,14 @@ def action_items(users: DataFrame) -> DataFrame:
         ]
     )
     consultant = F.coalesce("consultant_name", F.lit(fv.UNKNOWN_CONSULTANT)).alias("consultant")
-    return users.select(consultant, F.inline(F.filter(entries, lambda e: e["label"].isNotNull())))
+    ids = [c for c in ("patient_id",) if c in users.columns]
+    return users.select(consultant, *ids, F.inline(F.filter(entries, lambda e: e["label"].isNotNull())))
 
 
 def consultant_actions(users: DataFrame) -> DataFrame:
-    """Per consultant and action the sorted patients as one text; empty lists do not appear."""
+    """Per consultant and action the sorted patients as one text; empty lists do not appear.
+
+    A list is one cell and so at most what a Spark string holds (2 GB); :func:`action_items`
+    has no such limit and is what the flows publish.
+    """
     return long_text(action_items(users), ["consultant", "action_order", "action"], "label", "patients")

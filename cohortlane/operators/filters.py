@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..context import ReportContext
-from ..functions.dates import day, lookback
+from ..functions.dates import before_day, day, lookback
 from ..functions.phones import digits_only
-from ..functions.text import non_blank, not_in_normalised
+from ..functions.text import non_blank, not_in_lowered
 from .joins import join_subscription
 
 COHORTS = (fv.COACH_APP, fv.GLP)
@@ -35,7 +35,7 @@ def active_cohort(
         & (F.col("status") == fv.ACTIVE_STATUS)
         & (F.col("subscription_end_date") >= day(ctx.as_of))
         & non_blank(F.col("firstname"))
-        & in_list(F.col("nutritionist_id"), ctx.nutritionists)
+        & (F.lit(True) if ctx.nutritionists is None else in_list(F.col("nutritionist_id"), ctx.nutritionists))
         & cohort_filter(ctx, plan_type)
     )
     if started_by is not None:
@@ -45,12 +45,13 @@ def active_cohort(
 
 def cohort_filter(ctx: ReportContext, plan_type: str | None = None) -> Column:
     coach = F.col("plan_type") == fv.COACH_APP
-    glp = (F.col("plan_type") == fv.GLP) & not_in_normalised(F.col("plan_name"), ctx.excluded_glp_plans)
+    glp = (F.col("plan_type") == fv.GLP) & not_in_lowered(F.col("plan_name"), ctx.excluded_glp_plans)
     return {None: coach | glp, fv.COACH_APP: coach, fv.GLP: glp}[plan_type]
 
 
 def started(by: dt.date) -> Column:
-    return F.col("subscription_start_date") <= day(by)
+    """Started on that day or before; a timestamp counts by its day."""
+    return before_day(F.col("subscription_start_date"), by + dt.timedelta(days=1))
 
 
 def in_list(c: Column, values: tuple) -> Column:

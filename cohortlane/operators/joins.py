@@ -81,7 +81,11 @@ def cross_dates(base: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
 
 
 def join_features(base: DataFrame, features: list[DataFrame], key: str = "patient_id") -> DataFrame:
-    """Star of left joins; each feature frame is unique and already partitioned by the key."""
+    """Star of left joins; each feature frame is unique by the key.
+
+    Frames that were aggregated by the key in the same plan are partitioned by it already;
+    frames read from files are not.
+    """
     for feature in features:
         base = base.join(feature, key, "left")
     return base
@@ -115,5 +119,8 @@ def sheet_lookup(sheet: DataFrame) -> DataFrame:
 
 
 def lookup_join(df: DataFrame, name: str, lookup: DataFrame) -> DataFrame:
-    keyed = df.withColumn("name_key", normalize_name(F.col(name)))
-    return keyed.join(lookup, "name_key", "left").drop("name_key")
+    """Left join by normalised name.  Rows without a name match nothing and are spread over the tasks."""
+    name_key = normalize_name(F.col(name))
+    nowhere = F.concat(F.lit("\0"), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("string"))
+    keyed = df.withColumn("join_key", F.coalesce(name_key, nowhere))
+    return keyed.join(lookup.withColumnRenamed("name_key", "join_key"), "join_key", "left").drop("join_key")

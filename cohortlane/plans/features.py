@@ -22,9 +22,10 @@ from ..functions.measures import onboarded, track_status
 from ..functions.text import yes_no
 from ..operators.aggregates import agg_text
 from ..operators.filters import active_cohort, done_appointments, severe_side_effects, started
-from ..operators.joins import join_features, last_consultant_message
+from ..operators.joins import join_consultant, join_features, last_consultant_message
 from ..operators.sets import ACTIVITY_ROLES, active_days
 from ..operators.windows import latest_note, latest_weights
+from ..sources.sinks import shared_folder, written_table
 
 
 def engagement_rows(ctx: ReportContext, prev: bool, active: bool) -> DataFrame:
@@ -129,6 +130,28 @@ def cohort_base(ctx: ReportContext, plan_type: str | None = None) -> DataFrame:
     )
 
 
+def wide(ctx: ReportContext, prev: bool = True, active: bool = True) -> DataFrame:
+    """One row per patient of the cohorts with everything the user reports derive from.
+
+    Every joined frame is unique by patient, so a report that leaves a frame's columns
+    out is planned without that join.  Stored by :func:`stored_wide` it is read as it is.
+    """
+
+    def build() -> DataFrame:
+        members = join_consultant(cohort_base(ctx), ctx.role("consultants"))
+        parts = [engagement(ctx, prev, active), weights(ctx), notes(ctx), recent_active_days(ctx), side_effect_texts(ctx)]
+        return join_features(members, parts)
+
+    return ctx.shared("wide", build)
+
+
+def stored_wide(ctx: ReportContext, folder: str | None = None) -> ReportContext:
+    """The context with its wide frame written once, for reports that meet it several times."""
+    if ctx.holds("wide"):
+        return ctx
+    return ctx.pinned({"wide": written_table(wide(ctx), folder or shared_folder(ctx.spark), "wide")})
+
+
 def since(last: str, first_day: dt.date) -> Column:
     return yes_no(F.col(last) >= day(first_day))
 
@@ -176,7 +199,7 @@ def status_column(on: Column, current: str) -> Column:
 
 def summary_features(ctx: ReportContext) -> DataFrame:
     """Both cohorts with today's and yesterday's flags: all the summary counts from one frame."""
-    joined = join_features(cohort_base(ctx), [engagement(ctx, prev=True), weights(ctx)])
+    joined = wide(ctx, active=False)
     columns = {
         **today_columns(ctx),
         **prev_columns(ctx),

@@ -36,7 +36,7 @@ def signups(ctx: ReportContext) -> DataFrame:
         "id",
         "phone",
         full_name(F.col("firstname"), F.col("middlename"), F.col("lastname")).alias("patient_name"),
-        shift_zone(created, ctx.zone, ctx.as_of).alias("created_at_ist"),
+        shift_zone(created, ctx.zone).alias("created_at_ist"),
         "email",
     )
 
@@ -58,7 +58,7 @@ def report_active_customers(ctx: ReportContext) -> DataFrame:
 def lead_fields(ctx: ReportContext) -> dict[str, Column]:
     signed_up = F.coalesce(F.date_format("created_at_ist", "yyyy-MM-dd'T'HH:mm:ss"), F.lit(""))
     notes = F.concat(
-        F.lit(f"Auto-synced from {ctx.lead_system} on {ctx.run_ts:%Y-%m-%d %H:%M:%S}\nOriginal signup time: "),
+        F.lit(fv.LEAD_NOTE.format(system=ctx.lead_system, time=f"{ctx.run_ts:%Y-%m-%d %H:%M:%S}")),
         signed_up,
     )
     return {
@@ -83,13 +83,15 @@ def phone_facts(checked: DataFrame, active: DataFrame, existing: DataFrame) -> D
 
     One row per phone, aggregated on the map side.  Joining this single frame, instead
     of three, leaves the signups with one join that the skew join can split when one
-    phone holds a large share of them.
+    phone holds a large share of them.  The first signup is found among one day's
+    signups alone; the aggregation over all phones then has flat columns and hashes.
     """
     valid = checked.filter("reject_reason IS NULL AND phone_key <> ''")
+    first = valid.groupBy("phone_key").agg(F.min(F.struct("created_at_ist", "id"))["id"].alias("first_id"))
     branches = [
         distinct_phones(active).withColumn("is_customer", F.lit(True)),
         existing.filter("phone_key <> ''").select("phone_key", F.lit(True).alias("is_lead")),
-        valid.select("phone_key", F.struct("created_at_ist", "id").alias("first_signup")),
+        first,
     ]
     union = branches[0]
     for branch in branches[1:]:
@@ -97,7 +99,7 @@ def phone_facts(checked: DataFrame, active: DataFrame, existing: DataFrame) -> D
     return union.groupBy("phone_key").agg(
         F.max("is_customer").alias("is_customer"),
         F.max("is_lead").alias("is_lead"),
-        F.min("first_signup").alias("first_signup"),
+        F.max("first_id").alias("first_id"),
     )
 
 
@@ -112,7 +114,7 @@ def sync_outcomes(rows: DataFrame, active: DataFrame, existing: DataFrame) -> Da
     joined = checked.withColumn("join_key", spread_blank(F.col("phone_key"), F.col("id"))).join(
         facts, "join_key", "left"
     )
-    repeated = F.col("id") != F.col("first_signup.id")
+    repeated = F.col("id") != F.col("first_id")
     outcome = (
         F.when(F.col("is_customer"), "filtered")
         .when(F.col("reject_reason").isNotNull(), "rejected")

@@ -5,20 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..context import ReportContext
+from ..functions import rules
 from ..operators.sets import concat_rows
-from ..sources.sinks import append_table, describe_failure, shared_folder, write_report, written_table
+from ..sources.sinks import append_table, describe_failure, drop_hidden, shared_folder, write_report, written_table
 from . import features, leads, reports, streaks
 
 Builder = Callable[[ReportContext], DataFrame]
 
 USER_ANALYTICS: dict[str, Builder] = {
     fv.TITLE_SUMMARY: reports.report_summary_final,
-    fv.TITLE_ACTIONS: reports.report_actions_required,
+    fv.TITLE_ACTIONS: reports.report_action_items,
     fv.TITLE_COACH: lambda ctx: reports.report_annotated_users(ctx, fv.COACH_APP),
     fv.TITLE_GLP: lambda ctx: reports.report_annotated_users(ctx, fv.GLP),
     fv.TITLE_FULL: reports.report_full_analytics,
@@ -29,48 +30,62 @@ LEADS: dict[str, Builder] = {
 }
 TEAM: dict[str, Builder] = {fv.TITLE_STREAKS: streaks.report_team_streaks}
 ALL: dict[str, Builder] = {**USER_ANALYTICS, **LEADS, **TEAM}
+#: Not part of any flow; published where they are asked for by name.
+EXTRAS: dict[str, Builder] = {fv.TITLE_ACTION_TEXTS: reports.report_actions_required}
+KNOWN: dict[str, Builder] = {**ALL, **EXTRAS}
+
+#: How published tables mark their cells.
+FORMATS: dict[str, tuple[rules.Rule, ...]] = {
+    fv.TITLE_COACH: rules.USER_RULES,
+    fv.TITLE_GLP: rules.USER_RULES,
+    fv.TITLE_FULL: rules.USER_RULES,
+    fv.TITLE_STREAKS: rules.TEAM_RULES,
+}
+HIDDEN: dict[str, tuple[str, ...]] = {fv.TITLE_COACH: fv.HIDDEN_USER_COLUMNS, fv.TITLE_GLP: fv.HIDDEN_USER_COLUMNS}
+CLASSES = "__cell_classes__"
 
 
 def run_reports(ctx: ReportContext, names: list[str] | None = None) -> dict[str, DataFrame]:
-    """Lazy frames by heading, in order."""
-    return {name: ALL[name](ctx) for name in (names or list(ALL))}
-
-
-# Ids that may be broadcast; a long takes some 30 bytes in the hash table of a join.
-SCOPE_LIMIT = 1_000_000
-
+    """Lazy frames by heading, in order.  Several user reports share what :func:`pin` writes."""
+    names = names or list(ALL)
+    if sum(name in USER_ANALYTICS for name in names) > 1 and not ctx.holds("annotated"):
+        ctx = pin(ctx)
+    return {name: KNOWN[name](ctx) for name in names}
 
-def scope_to(ctx: ReportContext, ids: DataFrame, folder: str, limit: int = SCOPE_LIMIT) -> ReportContext:
-    """Limit the facts of a run to the patients ``ids``, provided they turn out to be few.
 
-    The ids are written and counted.  Up to ``limit`` they are broadcast against every
-    fact table; beyond it the run reads all facts, with the same result.
-    """
-    stored = written_table(ids.select("patient_id").distinct(), folder, "scope")
-    return replace(ctx, scope=stored) if stored.count() <= limit else ctx
+def scope_to(ctx: ReportContext, ids: DataFrame, folder: str) -> ReportContext:
+    """Limit the facts of a run to the patients ``ids``, which are written once."""
+    return replace(ctx, scope=written_table(ids.select("patient_id").distinct(), folder, "scope"))
 
 
-def pin(
-    ctx: ReportContext, folder: str | None = None, scope_limit: int = SCOPE_LIMIT
-) -> ReportContext:
-    """Write the cohort features several reports share and let later plans read them.
+def pin(ctx: ReportContext, folder: str | None = None) -> ReportContext:
+    """Write the wide frame of the cohorts, which all user reports share, and the annotated users.
 
     Only the features are limited to the cohorts; the context itself stays without a
     scope, as a team report may follow other patients.
     """
     folder = folder or shared_folder(ctx.spark)
-    scoped = scope_to(ctx, features.cohort_base(ctx), folder, scope_limit)
-    frames = {
-        "engagement": features.engagement(scoped, prev=True, active=True),
-        "weights": features.weights(scoped),
-        "active_days": features.recent_active_days(scoped),
-        "side_effects": features.side_effect_texts(scoped),
-        "notes": features.notes(scoped),
-    }
-    ctx = ctx.pinned({name: written_table(df, folder, name) for name, df in frames.items()})
+    scoped = scope_to(ctx, features.cohort_base(ctx), folder)
+    ctx = ctx.pinned({"wide": written_table(features.wide(scoped), folder, "wide")})
     return ctx.pinned({"annotated": written_table(reports.annotated_table(ctx), folder, "annotated")})
 
 
+def published(df: DataFrame, heading: str) -> DataFrame:
+    """The table as it is shown: without its hidden columns, with the class of each marked cell.
+
+    ``__cell_classes__`` maps column to class; marks the rows carry already go before rules.
+    """
+    if heading not in FORMATS:
+        return df
+    shown = drop_hidden(df, HIDDEN.get(heading, ()))
+    classes = rules.cell_classes(shown, FORMATS[heading])
+    if CLASSES in df.columns:
+        marks = F.col(CLASSES)
+        by_rule = F.map_filter(classes, lambda column, _: ~F.map_contains_key(marks, column))
+        classes = F.map_concat(by_rule, marks)
+    return df.withColumn(CLASSES, classes).select(*[F.col(f"`{c}`") for c in shown.columns], CLASSES)
+
+
 def publish(
     ctx: ReportContext, folder: str, names: list[str] | None = None, strict: bool = False
 ) -> tuple[dict[str, str], dict[str, str]]:
@@ -82,7 +97,7 @@ def publish(
     failures: dict[str, str] = {}
     for name in names or list(ALL):
         try:
-            paths[name] = write_report(ALL[name](ctx), folder, name)
+            paths[name] = write_report(published(KNOWN[name](ctx), name), folder, name)
         except Exception as error:  # one report must not take the run down
             if strict:
                 raise
@@ -120,18 +135,26 @@ def run_flow(
     return paths, failures
 
 
-def row_counts(frames: dict[str, DataFrame]) -> DataFrame:
-    """One row per heading with its position and number of rows."""
+def contents(frames: dict[str, DataFrame]) -> DataFrame:
+    """One row per heading: its position, its rows, and a sum over its rows that any changed cell changes.
+
+    ``content`` adds up the first 32 bits of an MD5 of each row's cells as text; order plays no part.
+    """
+
+    def digest(df: DataFrame) -> Column:
+        cells = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("~")) for c in drop_hidden(df).columns]
+        return F.conv(F.substring(F.md5(F.concat_ws("|", *cells)), 1, 8), 16, 10).cast("bigint")
+
     return concat_rows(
         *[
-            df.agg(F.count("*").alias("n_rows")).select(
-                F.lit(i).alias("ordinal"), F.lit(name).alias("heading"), "n_rows"
+            df.agg(F.count("*").alias("n_rows"), F.coalesce(F.sum(digest(df)), F.lit(0)).alias("content")).select(
+                F.lit(i).alias("ordinal"), F.lit(name).alias("heading"), "n_rows", "content"
             )
             for i, (name, df) in enumerate(frames.items(), start=1)
         ]
     )
 
 
-def published_counts(ctx: ReportContext, paths: dict[str, str]) -> DataFrame:
-    return row_counts({name: ctx.spark.read.parquet(path) for name, path in paths.items()})
+def published_contents(ctx: ReportContext, paths: dict[str, str]) -> DataFrame:
+    return contents({name: ctx.spark.read.parquet(path) for name, path in paths.items()})
 

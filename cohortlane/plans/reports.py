@@ -20,9 +20,8 @@ from ..functions.measures import (
 )
 from ..functions.rules import class_map
 from ..functions.text import is_no, reason_override, trim_alias, yes_no
-from ..operators.aggregates import consultant_actions, recount, summary_delta, summary_matrix
+from ..operators.aggregates import action_items, consultant_actions, recount, summary_delta, summary_matrix
 from ..operators.joins import (
-    join_consultant,
     join_features,
     last_per_name,
     lookup_join,
@@ -30,15 +29,11 @@ from ..operators.joins import (
 )
 from ..operators.sets import sorted_report
 from .features import (
-    cohort_base,
-    engagement,
-    notes,
-    recent_active_days,
-    side_effect_texts,
     since,
+    stored_wide,
     summary_features,
     today_columns,
-    weights,
+    wide,
 )
 
 
@@ -62,10 +57,18 @@ def report_summary_comparison(ctx: ReportContext) -> DataFrame:
 
 def user_flags(ctx: ReportContext, plan_type: str | None = None, active: bool = False) -> DataFrame:
     """One row per active patient with what is asked of them; ``track`` still holds the goal weight."""
-    members = join_consultant(cohort_base(ctx, plan_type), ctx.role("consultants"))
-    joined = join_features(members, [engagement(ctx, active=active)])
+    rows = _of_plan(wide(ctx, prev=False, active=active), plan_type)
+    return flag_columns(ctx, rows, *(["last_active_day"] if active else []))
+
+
+def _of_plan(rows: DataFrame, plan_type: str | None) -> DataFrame:
+    return rows if plan_type is None else rows.filter(F.col("cohort") == plan_type)
+
+
+def flag_columns(ctx: ReportContext, rows: DataFrame, *more: str) -> DataFrame:
+    """Of wide rows what the user tables show, and the columns in ``more``."""
     columns = today_columns(ctx)
-    return joined.select(
+    return rows.select(
         "patient_id",
         "cohort",
         trim_alias(F.col("firstname"), "patient_name"),
@@ -74,14 +77,14 @@ def user_flags(ctx: ReportContext, plan_type: str | None = None, active: bool =
         "plan_name",
         round2(F.col("goal_weight")).alias("track"),
         *[columns[c].alias(c) for c in ("user_onboarded", "days_since_contact", "meal_log", "weight_log")],
-        *(["last_active_day"] if active else []),
+        *more,
     )
 
 
 def user_table(ctx: ReportContext, plan_type: str | None = None) -> DataFrame:
     """The flags with side effects and active days."""
-    users = user_flags(ctx, plan_type, active=True)
-    joined = join_features(users, [side_effect_texts(ctx), recent_active_days(ctx)])
+    rows = _of_plan(wide(ctx, prev=False), plan_type)
+    joined = flag_columns(ctx, rows, "last_active_day", "side_effects", "active_days")
     filled = {
         "side_effects": F.coalesce("side_effects", F.lit(fv.NONE_TEXT)),
         "active_days": F.coalesce("active_days", F.lit(0)),
@@ -102,27 +105,20 @@ def report_glp_users(ctx: ReportContext) -> DataFrame:
 
 def progress_inputs(ctx: ReportContext) -> DataFrame:
     """The weight columns of the full table, without its other joins."""
-    joined = join_features(cohort_base(ctx), [weights(ctx).select("patient_id", "current_weight")])
-    return joined.withColumns(
-        {
-            "patient_name": F.trim("firstname"),
-            "actual_loss": round2(actual_loss(F.col("start_weight"), F.col("current_weight"))),
-            "start_weight": round2(F.col("start_weight")),
-            "goal_weight": round2(F.col("goal_weight")),
-        }
+    start, current = F.col("start_weight"), F.col("current_weight")
+    return wide(ctx, prev=False, active=False).select(
+        "patient_id",
+        "cohort",
+        F.trim("firstname").alias("patient_name"),
+        round2(start).alias("start_weight"),
+        round2(F.col("goal_weight")).alias("goal_weight"),
+        "current_weight",
+        round2(actual_loss(start, current)).alias("actual_loss"),
     )
 
 
 def full_table(ctx: ReportContext) -> DataFrame:
-    joined = join_features(
-        cohort_base(ctx),
-        [
-            engagement(ctx, active=True),
-            weights(ctx).select("patient_id", "current_weight"),
-            notes(ctx),
-            recent_active_days(ctx),
-        ],
-    )
+    joined = wide(ctx, prev=False)
     start, goal, current = F.col("start_weight"), F.col("goal_weight"), F.col("current_weight")
     days = day_diff(day(ctx.as_of), F.col("start_day"))
     contact = latest_of(F.to_date("last_note_date"), F.col("last_visit_day"), F.col("last_message_day"))
@@ -234,7 +230,8 @@ def annotated_track(ctx: ReportContext) -> DataFrame:
     """Cohort and track status of the annotated users, without the joins their other columns need."""
 
     def build() -> DataFrame:
-        users = cohort_base(ctx).select("patient_id", "cohort", trim_alias(F.col("firstname"), "patient_name"))
+        rows = wide(ctx, prev=False, active=False)
+        users = rows.select("patient_id", "cohort", trim_alias(F.col("firstname"), "patient_name"))
         joined = join_progress(users, progress_inputs(ctx), ctx.role("sheet"), ctx)
         track = F.coalesce("progress", F.lit(fv.DATA_INCOMPLETE)).alias("track")
         return joined.select("patient_id", "cohort", track)
@@ -254,17 +251,23 @@ def annotated_flags(ctx: ReportContext) -> DataFrame:
 
 def report_annotated_users(ctx: ReportContext, plan_type: str | None = None) -> DataFrame:
     """The user tables as published, with ``__cell_classes__`` telling which cells were replaced."""
-    users = annotated_table(ctx)
-    if plan_type is not None:
-        users = users.filter(F.col("cohort") == plan_type)
+    users = _of_plan(annotated_table(stored_wide(ctx)), plan_type)
     return titled(users, {**fv.USER_HEADINGS, "cell_classes": "__cell_classes__"})
 
 
 def report_summary_final(ctx: ReportContext) -> DataFrame:
+    ctx = stored_wide(ctx)
     final = recount(summary_table(ctx), annotated_track(ctx))
     return titled(sorted_report(final, ["sort_order"]), fv.SUMMARY_HEADINGS)
 
 
+def report_action_items(ctx: ReportContext) -> DataFrame:
+    """One row per consultant, action and patient, in report order."""
+    order = ["consultant", "action_order", "label", "patient_id"]
+    return titled(sorted_report(action_items(annotated_flags(ctx)), order), fv.ACTION_ITEM_HEADINGS)
+
+
 def report_actions_required(ctx: ReportContext) -> DataFrame:
+    """The same with each list as one text."""
     actions = sorted_report(consultant_actions(annotated_flags(ctx)), ["consultant", "action_order"])
     return titled(actions, fv.ACTION_HEADINGS)

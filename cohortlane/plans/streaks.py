@@ -29,7 +29,9 @@ def log_tables(ctx: ReportContext) -> dict[str, DataFrame]:
 def team_targets(ctx: ReportContext) -> DataFrame:
     """The followed patients, found by phone, without the excluded names."""
     patients = ctx.role("patients")
-    if isinstance(ctx.team_phones, DataFrame):
+    if ctx.team_phones is None:
+        chosen = patients
+    elif isinstance(ctx.team_phones, DataFrame):
         chosen = in_table(patients, "phone", ctx.team_phones)
     else:
         chosen = patients.filter(in_list(F.col("phone"), ctx.team_phones))

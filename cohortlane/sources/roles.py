@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _LOG = "patient_id BIGINT, date TIMESTAMP"
 
@@ -47,10 +49,25 @@ def snake_columns(df: DataFrame) -> DataFrame:
 
 
 def load_role(spark: SparkSession, folder: str, role: str) -> DataFrame:
-    """A role table stored as ``<folder>/<role>.parquet`` (file or directory)."""
-    schema = ROLE_SCHEMAS[role]
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(f"{folder}/{role}.parquet")
+    """A role table stored as ``<folder>/<role>.parquet`` (file or directory).
+
+    The files' own columns are read, renamed by ``SOURCE_NAMES`` and cast to the role's
+    types; a column the role needs and the files lack is an error, never NULLs.
+    """
+    stored = snake_columns(spark.read.parquet(f"{folder}/{role}.parquet"))
+    if ROLE_SCHEMAS[role] is None:
+        return stored
+    wanted = T.StructType.fromDDL(ROLE_SCHEMAS[role])
+    absent = [f.name for f in wanted if f.name not in stored.columns]
+    if absent:
+        raise ValueError(f"role {role}: no column {', '.join(absent)} in {folder}/{role}.parquet")
+    return stored.select(*[_typed(stored, f) for f in wanted])
+
+
+def _typed(stored: DataFrame, wanted: T.StructField) -> Column:
+    """The column as the role has it.  Equal types are left alone, so that filters reach the scan."""
+    c = F.col(wanted.name)
+    return c if stored.schema[wanted.name].dataType == wanted.dataType else c.cast(wanted.dataType).alias(wanted.name)
 
 
 def folder_reader(spark: SparkSession, folder: str):

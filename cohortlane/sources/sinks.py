@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import re
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,10 +29,11 @@ def append_table(df: DataFrame, path: str) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder below the cluster's shared folder, or a local one where none is configured."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        return tempfile.mkdtemp(prefix="cohortlane-")
+    """A fresh folder that all executors see: below spark.checkpoint.dir, or else below the warehouse.
+
+    It belongs to the caller, who removes it once nothing reads from it any more.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/cohortlane-{uuid.uuid4().hex}"
 
 
@@ -60,4 +60,4 @@ def written_table(df: DataFrame, folder: str, name: str) -> DataFrame:
 
 
 def describe_failure(error: Exception) -> str:
-    return json.dumps(str(error).splitlines()[:1])
+    return json.dumps(str(error).splitlines())

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from cohortlane.sources.standins import ROLE_VIEWS
+from .standins import ROLE_VIEWS
 
 TODAY = "DATE '2024-01-31'"
 YESTERDAY = "DATE '2024-01-30'"
@@ -276,19 +276,24 @@ FROM delta d
 """)
 
 
-def action_rows(users: str) -> str:
+def action_labels(users: str) -> str:
     who = "coalesce(consultant_name, 'Unknown Consultant')"
     return f"""
-SELECT consultant, action_order, action, string_agg(label, ', ' ORDER BY label) AS patients FROM (
-  SELECT {who} AS consultant, 1 AS action_order, 'User Not Onboarded' AS action, patient_name AS label
+  SELECT {who} AS consultant, 1 AS action_order, 'User Not Onboarded' AS action, patient_name AS label, patient_id
   FROM {users} WHERE lower(user_onboarded) = 'no'
-  UNION ALL SELECT {who}, 2, 'Meal Logging', patient_name FROM {users} WHERE lower(meal_log) = 'no'
-  UNION ALL SELECT {who}, 3, 'Weight Logging', patient_name FROM {users} WHERE lower(weight_log) = 'no'
-  UNION ALL SELECT {who}, 4, 'No Interaction (2+ days)', format('{{}} ({{}} days)', patient_name, days_since_contact)
-  FROM {users} WHERE days_since_contact >= 2)
-GROUP BY ALL"""
+  UNION ALL SELECT {who}, 2, 'Meal Logging', patient_name, patient_id FROM {users} WHERE lower(meal_log) = 'no'
+  UNION ALL SELECT {who}, 3, 'Weight Logging', patient_name, patient_id FROM {users} WHERE lower(weight_log) = 'no'
+  UNION ALL SELECT {who}, 4, 'No Interaction (2+ days)', format('{{}} ({{}} days)', patient_name, days_since_contact), patient_id
+  FROM {users} WHERE days_since_contact >= 2"""
+
+
+def action_rows(users: str) -> str:
+    return f"""
+SELECT consultant, action_order, action, string_agg(label, ', ' ORDER BY label) AS patients
+FROM ({action_labels(users)}) GROUP BY consultant, action_order, action"""
 
 
+piece("action_list", action_labels("annotated_rows"))
 piece("action_texts", action_rows("annotated_rows"))
 
 piece("log_flags", """
@@ -385,23 +390,12 @@ EMAIL = "CASE WHEN lower(trim(email)) NOT IN ('', 'null') THEN trim(email) END"
 # --- scans, sources, sinks ----------------------------------------------------
 
 oracle("scan_role", "SELECT * FROM patients")
-REPORT_COUNTS = f"""
-SELECT 1 AS ordinal, 'Summary Comparison' AS heading, (SELECT count(*) FROM final_summary) AS n_rows
-UNION ALL SELECT 2, 'Actions Required', (SELECT count(*) FROM action_texts)
-UNION ALL SELECT 3, 'Coach +App User analytics', (SELECT count(*) FROM running WHERE cohort = 'Coach+App')
-UNION ALL SELECT 4, 'GLP User analytics', (SELECT count(*) FROM running WHERE cohort = 'GLP')
-UNION ALL SELECT 5, 'Full Analytics', (SELECT count(*) FROM running)
-UNION ALL SELECT 6, 'Contact-Me Form leads',
-  (SELECT count(*) FROM assistant WHERE created_at::DATE = {YESTERDAY})
-UNION ALL SELECT 7, 'New Signups', (SELECT count(*) FROM fresh)
-UNION ALL SELECT 8, 'Team Streaks', (SELECT count(*) FROM team)"""
-oracle("report_registry", REPORT_COUNTS)
-oracle("report_output", REPORT_COUNTS)
 oracle("sheet_source", "SELECT * FROM sheet")
 oracle("append_sink", """
+SELECT f.* FROM range(2) CROSS JOIN (
 SELECT id::VARCHAR AS id, coalesce(phone, '') AS phone, patient_name, created_at_ist::VARCHAR AS created_at_ist,
        coalesce(email, '') AS email, to_json({'phone': phone, 'email': email})::VARCHAR AS contact
-FROM fresh""")
+FROM fresh) f""")
 oracle("lead_upsert", """
 SELECT f.id, f.phone_key,
   CASE WHEN e.phone_key IS NULL
@@ -667,7 +661,7 @@ oracle("parse_date_multi", f"""
 SELECT row_no, try_strptime(trim(glp_1st_dose), {DATE_FORMATS})::DATE AS dose_day FROM sheet""")
 oracle("progress_status", "SELECT patient_id, track FROM annotated_rows")
 oracle("reason_override", "SELECT patient_id, user_onboarded, meal_log, weight_log FROM annotated_rows")
-oracle("format_rules", """
+piece("format_cells", """
 SELECT patient_id, 'User Onboarded' AS column_name, 'bg-red' AS cell_class FROM full_rows WHERE user_onboarded = 'No'
 UNION ALL SELECT patient_id, 'Goals Set', 'bg-yellow' FROM full_rows WHERE goals_set = 'No'
 UNION ALL SELECT patient_id, 'Smart Scale Logged', 'bg-yellow' FROM full_rows WHERE scale_logged = 'No'
@@ -676,7 +670,9 @@ UNION ALL SELECT patient_id, 'Meal Log (3 days)', 'bg-yellow' FROM full_rows WHE
 UNION ALL SELECT patient_id, 'Weight Log (7 days)', 'bg-yellow' FROM full_rows WHERE weight_log = 'No'
 UNION ALL SELECT patient_id, 'Days Since Last Interaction',
   CASE WHEN days_since_contact < 5 THEN 'bg-yellow' ELSE 'bg-red' END FROM full_rows WHERE days_since_contact >= 2
-UNION ALL SELECT patient_id, 'Current Weight Lose', 'bg-red' FROM full_rows WHERE actual_loss < 0""")
+UNION ALL SELECT patient_id, 'Current Weight Lose', 'bg-red' FROM full_rows WHERE actual_loss < 0
+""")
+oracle("format_rules", "SELECT * FROM format_cells")
 oracle("json_cell", """
 SELECT id, to_json({'phone': phone, 'plan': active_subscription_id})::VARCHAR AS contact,
        to_json([middlename, status])::VARCHAR AS words, coalesce(email, '') AS email,
@@ -698,8 +694,8 @@ active_days AS "Num Active days (in last 7 days)", last_active_day AS "Last Acti
 oracle("summary_comparison", f"SELECT {SUMMARY_COLUMNS} FROM delta ORDER BY sort_order")
 oracle("coach_app_users", f"SELECT {USER_COLUMNS} FROM user_rows WHERE cohort = 'Coach+App'")
 oracle("glp_users", f"SELECT {USER_COLUMNS} FROM user_rows WHERE cohort = 'GLP'")
-oracle("full_analytics", """
-SELECT patient_name AS "Patient Name", plan_type AS "Subscription Type", goals_set AS "Goals Set",
+FULL_COLUMNS = """
+patient_name AS "Patient Name", plan_type AS "Subscription Type", goals_set AS "Goals Set",
        scale_logged AS "Smart Scale Logged", meal_logged AS "Meal Logged", user_onboarded AS "User Onboarded",
        start_date AS "Subscription Start Date", days_since_start AS "Days since Subscription Start",
        start_weight AS "Start Weight", goal_weight AS "Goal Weight", current_weight AS "Current Weight",
@@ -708,12 +704,11 @@ SELECT patient_name AS "Patient Name", plan_type AS "Subscription Type", goals_s
        days_since_contact AS "Days Since Last Interaction", last_meal_day AS "Last Meal Log Date",
        last_weight_day AS "Last Weight Log Date", meal_log AS "Meal Log (3 days)",
        weight_log AS "Weight Log (7 days)", active_days AS "Num Active days (in last 7 days)",
-       last_active_day AS "Last Active Day"
-FROM full_rows ORDER BY plan_type, patient_name""")
-oracle("team_streaks", f"""
-SELECT patient_id, name, {STRICT} AS "active yesterday", streak AS "Streak",
-       weight_log AS "Weight Log (Last 7 Days)", {MISSING} AS "reason of inactivity yesterday"
-FROM team_rows""")
+       last_active_day AS "Last Active Day" """
+oracle("full_analytics", f"SELECT {FULL_COLUMNS} FROM full_rows ORDER BY plan_type, patient_name")
+STREAK_COLUMNS = f"""name AS "name", {STRICT} AS "active yesterday", streak AS "Streak",
+       weight_log AS "Weight Log (Last 7 Days)", {MISSING} AS "reason of inactivity yesterday" """
+oracle("team_streaks", f"SELECT patient_id, {STREAK_COLUMNS} FROM team_rows")
 oracle("contact_leads", f"SELECT * FROM assistant WHERE created_at::DATE = {YESTERDAY}")
 oracle("new_signups", "SELECT phone, patient_name, created_at_ist, email FROM fresh")
 oracle("active_customers", "SELECT phone FROM customers")
@@ -723,3 +718,55 @@ oracle("actions_required", """
 SELECT consultant AS "Consultant", action AS "Action", patients AS "Patients Pending" FROM action_texts
 ORDER BY consultant, action_order""")
 oracle("lead_sync", "SELECT * FROM synced")
+oracle("action_items", """
+SELECT consultant AS "Consultant", action AS "Action", label AS "Patient Pending" FROM action_list
+ORDER BY consultant, action_order, label""")
+
+# Every heading: SELECT list and source.
+ACTION_COLUMNS = 'consultant AS "Consultant", action AS "Action", label AS "Patient Pending"'
+REPORTS = {
+    "Summary Comparison": (SUMMARY_COLUMNS, "final_summary"),
+    "Actions Required": (ACTION_COLUMNS, "action_list"),
+    "Coach +App User analytics": (USER_COLUMNS, "annotated_rows WHERE cohort = 'Coach+App'"),
+    "GLP User analytics": (USER_COLUMNS, "annotated_rows WHERE cohort = 'GLP'"),
+    "Full Analytics": (FULL_COLUMNS, "full_rows"),
+    "Contact-Me Form leads": (
+        'id AS "id", user_id AS "user_id", message AS "message", created_at AS "created_at"',
+        f"assistant WHERE created_at::DATE = {YESTERDAY}",
+    ),
+    "New Signups": ('phone AS "phone", patient_name AS "patient_name", created_at_ist AS "created_at_ist"', "fresh"),
+    "Team Streaks": (STREAK_COLUMNS, "team_rows"),
+}
+UNSHOWN = ("Consultant ID", "Consultant Name", "Subscription Name")
+
+
+def report_contents(unshown: tuple[str, ...] = ()) -> str:
+    parts = []
+    for n, (heading, (columns, source)) in enumerate(REPORTS.items(), start=1):
+        names = [c for c in re.findall(r'AS "([^"]+)"', columns) if c not in unshown]
+        cells = ", ".join(f"""coalesce("{c}"::VARCHAR, '~')""" for c in names)
+        parts.append(f"""
+SELECT {n} AS ordinal, '{heading}' AS heading, count(*) AS n_rows,
+       coalesce(sum(('0x' || substr(md5(concat_ws('|', {cells})), 1, 8))::BIGINT), 0)::BIGINT AS content
+FROM (SELECT {columns} FROM {source})""")
+    return " UNION ALL ".join(parts)
+
+
+oracle("report_registry", report_contents())
+oracle("report_output", report_contents(UNSHOWN))
+piece("user_cells", """
+SELECT *, CASE cohort WHEN 'GLP' THEN 'GLP User analytics' ELSE 'Coach +App User analytics' END AS heading
+FROM annotated_rows""")
+piece("user_marks", """
+SELECT heading, unnest(map_keys(m)) AS column_name, unnest(map_values(m)) AS cell_class
+FROM (SELECT heading, CAST(CAST(cell_classes AS JSON) AS MAP(VARCHAR, VARCHAR)) AS m FROM user_cells)
+UNION ALL SELECT heading, 'User Onboarded', 'bg-red' FROM user_cells WHERE lower(trim(user_onboarded)) = 'no'
+UNION ALL SELECT heading, 'Meal Log (3 days)', 'bg-yellow' FROM user_cells WHERE lower(trim(meal_log)) = 'no'
+UNION ALL SELECT heading, 'Weight Log (7 days)', 'bg-yellow' FROM user_cells WHERE lower(trim(weight_log)) = 'no'
+UNION ALL SELECT heading, 'Days Since Last Interaction', CASE WHEN days_since_contact < 5 THEN 'bg-yellow' ELSE 'bg-red' END
+FROM user_cells WHERE days_since_contact >= 2""")
+oracle("published_cells", """
+SELECT heading, column_name, cell_class, n_columns, count(*) AS n_cells FROM (
+  SELECT *, 9 AS n_columns FROM user_marks
+  UNION ALL SELECT 'Full Analytics', column_name, cell_class, 22 FROM format_cells)
+GROUP BY ALL""")

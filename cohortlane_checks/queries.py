@@ -17,10 +17,12 @@ from cohortlane.operators import aggregates, filters, joins, sets, windows
 from cohortlane.plans import features, leads, registry, reports, streaks
 from cohortlane.sources import sheet as sheets
 from cohortlane.sources import sinks
-from cohortlane.sources.standins import standin_reader
+
+from .standins import standin_reader
 
 AS_OF = dt.date(2024, 1, 31)
 STREAK_START = dt.date(2024, 1, 5)
+RUN_TS = dt.datetime(2024, 1, 31, 6, 0, 0)
 NUTRITIONISTS = (2, 4, 6)
 PLANS_LEFT_OUT = ("nation_3", " Nation_7 ")
 TEAM_LEFT_OUT = ("customer#000000008  household", "Customer#000000020  BUILDING ")
@@ -37,6 +39,7 @@ def make_context(spark: SparkSession, folder: str) -> ReportContext:
         as_of=AS_OF,
         nutritionists=NUTRITIONISTS,
         streak_start=STREAK_START,
+        run_ts=RUN_TS,
         team_excluded_names=TEAM_LEFT_OUT,
     )
 
@@ -69,21 +72,32 @@ def scan_role(ctx):
 
 @query
 def report_registry(ctx):
-    return registry.row_counts(registry.run_reports(followed(ctx)))
+    return registry.contents(registry.run_reports(followed(ctx)))
 
 
 @query
 def sheet_source(ctx):
-    """The sheet with its trailing empty cells missing, as a ragged export has them."""
+    """The sheet written as CSV files and read as a sheet; its own numbers come back as a column."""
     cells = ctx.role("sheet")
-    ragged = cells.select("row_no", "name", *[F.nullif(c, F.lit("")).alias(c) for c in cells.columns[2:]])
-    return sheets.sheet_records(ragged)
+    headed = cells.select("row_no", "name", *[F.col(c).alias(h) for c, h in fv.SHEET_REASON_HEADERS.items()])
+    path = f"{sinks.shared_folder(ctx.spark)}/sheet"
+    headed.withColumnRenamed("row_no", "No").write.csv(
+        path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+    read = sheets.read_sheet(ctx.spark, path)
+    numbers = read.select("row_no", F.col("No").cast("bigint").alias("own"))
+    role = sheets.sheet_role(read).withColumn("name", F.coalesce("name", F.lit("")))
+    return role.join(numbers, "row_no").drop("row_no").withColumnRenamed("own", "row_no")
 
 
 @query
 def append_sink(ctx):
+    """Appended twice to a new table, and an empty frame in between."""
     rows = leads.signups(ctx).withColumn("contact", F.struct("phone", "email"))
-    return sinks.as_text(rows)
+    path = f"{sinks.shared_folder(ctx.spark)}/signups"
+    for part in (rows, rows.filter(F.lit(False)), rows):
+        sinks.append_table(part, path)
+    return ctx.spark.read.parquet(path)
 
 
 @query
@@ -98,7 +112,7 @@ def report_output(ctx):
     paths, failures = registry.publish(pinned, sinks.shared_folder(ctx.spark))
     if failures:
         raise RuntimeError(f"reports failed: {failures}")
-    return registry.published_counts(ctx, paths)
+    return registry.published_contents(ctx, paths)
 
 
 @query
@@ -650,7 +664,7 @@ def signed_text(ctx):
 
 @query
 def ist_shift(ctx):
-    shifted = dates.shift_zone(F.col("created_at"), ctx.zone, ctx.as_of)
+    shifted = dates.shift_zone(F.col("created_at"), ctx.zone)
     return ctx.role("patients").select("id", shifted.alias("created_at_ist"))
 
 
@@ -825,6 +839,24 @@ def actions_required(ctx):
     return reports.report_actions_required(ctx)
 
 
+@query
+def action_items(ctx):
+    return reports.report_action_items(ctx)
+
+
+@query
+def published_cells(ctx):
+    """Marked cells of the user tables as they are published, without the columns they hide."""
+    frames = []
+    for heading, build in registry.USER_ANALYTICS.items():
+        if heading in registry.FORMATS:
+            shown = registry.published(build(ctx), heading)
+            cells = shown.select(F.lit(heading).alias("heading"), F.explode(registry.CLASSES).alias("column_name", "cell_class"))
+            frames.append(cells.withColumn("n_columns", F.lit(len(shown.columns) - 1)))
+    every = sets.concat_rows(*frames)
+    return every.groupBy(*every.columns).agg(F.count("*").alias("n_cells"))
+
+
 @query
 def lead_sync(ctx):
     return leads.lead_sync(ctx).outcomes

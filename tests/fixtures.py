@@ -10,6 +10,7 @@ from cohortlane import ReportContext
 from cohortlane.sources.roles import ROLE_SCHEMAS
 
 AS_OF = dt.date(2024, 1, 31)
+RUN_TS = dt.datetime(2024, 1, 31, 6)
 ASSISTANT = "id BIGINT, message STRING, created_at TIMESTAMP"
 
 
@@ -27,7 +28,7 @@ def tables(spark: SparkSession, rows: dict[str, list[tuple]]) -> dict[str, DataF
 
 def context(spark: SparkSession, rows: dict[str, list[tuple]], **params) -> ReportContext:
     frames = tables(spark, rows)
-    defaults = {"as_of": AS_OF, "nutritionists": (2, 4), "streak_start": dt.date(2024, 1, 5)}
+    defaults = {"as_of": AS_OF, "nutritionists": (2, 4), "streak_start": dt.date(2024, 1, 5), "run_ts": RUN_TS}
     return ReportContext(spark=spark, read=frames.__getitem__, **{**defaults, **params})
 
 

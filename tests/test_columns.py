@@ -244,3 +244,22 @@ def test_format_rules_match_names_exactly(spark):
     orange = [r.id for r in rules.format_rules(shown, ["id"]).filter("cell_class = 'bg-orange'").collect()]
     assert sorted(orange) == [1, 2]
     assert df.select(F.size(rules.cell_classes(df.select("id")))).first()[0] == 0
+
+
+def test_days_on_which_clocks_change_have_their_own_bounds(spark):
+    """Europe/Berlin went from +1 to +2 hours on 2024-03-31 and back on 2024-10-27."""
+    for as_of, lower, upper in (
+        (dt.date(2024, 4, 1), dt.datetime(2024, 3, 30, 23), dt.datetime(2024, 3, 31, 22)),
+        (dt.date(2024, 10, 28), dt.datetime(2024, 10, 26, 22), dt.datetime(2024, 10, 27, 23)),
+    ):
+        assert dates.tz_bounds(as_of, "Europe/Berlin", "local_day") == (lower, upper)
+    times = spark.sql("SELECT * FROM VALUES (TIMESTAMP '2024-03-31 00:30:00'), (TIMESTAMP '2024-03-31 01:30:00') AS t(c)")
+    shown = [r[0] for r in times.orderBy("c").select(dates.shift_zone(F.col("c"), "Europe/Berlin")).collect()]
+    assert shown == [dt.datetime(2024, 3, 31, 1, 30), dt.datetime(2024, 3, 31, 3, 30)]
+
+
+def test_no_value_and_no_text_is_cut(spark):
+    long = "+91" + "x" * (1 << 20) + "9000000001"
+    assert evaluate(spark, [long], "STRING", phones.normalize_phone) == ["9000000001"]
+    rounded = evaluate(spark, [1e30, float("inf"), 2.345, None], "DOUBLE", measures.round2)
+    assert rounded == [1e30, float("inf"), 2.35, None]

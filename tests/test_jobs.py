@@ -9,6 +9,7 @@ import pytest
 from cohortlane import fixed_values as fv
 from cohortlane import jobs
 from cohortlane.plans import leads, reports
+from cohortlane.sources.roles import ROLE_SCHEMAS
 from tests.fixtures import PLANS, at, context, patient, tables
 
 
@@ -43,7 +44,7 @@ def test_user_analytics_with_a_csv_sheet(spark, roles, tmp_path):
     assert [(r["Patient Name"], r["Meal Log (3 days)"]) for r in coach] == [("Ann", "Travelling")]
     actions = spark.read.parquet(str(tmp_path / "out" / "actions_required")).collect()
     meal = next(r for r in actions if r["Action"] == fv.ACTION_MEAL)
-    assert meal["Patients Pending"] == "Bea"
+    assert meal["Patient Pending"] == "Bea"
 
 
 def test_lead_flow_appends_its_signups(spark, roles, tmp_path):
@@ -113,3 +114,22 @@ def test_progress_by_id_keeps_equal_names_apart(spark):
 def test_run_day_is_an_argument(roles):
     args = jobs.arguments(argv("team", roles, "out"))
     assert args.as_of == dt.date(2024, 1, 31)
+
+
+def test_roles_with_source_names_give_the_same_tables(spark, roles, tmp_path):
+    """The job over tables whose columns are named as the source names them."""
+    names = {"created_at": "createdAt", "is_active": "isActive", "messaged_at": "messagedAt"}
+    for role in ROLE_SCHEMAS:
+        df = spark.read.parquet(f"{roles}/{role}.parquet").withColumnsRenamed(names)
+        df.write.parquet(f"{tmp_path}/source/{role}.parquet")
+    for folder, out in ((roles, "a"), (str(tmp_path / "source"), "b")):
+        assert jobs.run(spark, argv("user_analytics", folder, tmp_path / out))
+    for table in ("full_analytics", "actions_required", "coach_app_user_analytics"):
+        a, b = (spark.read.parquet(str(tmp_path / out / table)) for out in ("a", "b"))
+        assert a.count() > 0 and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+def test_team_from_a_table(spark, roles, tmp_path):
+    spark.createDataFrame([("9000000001",), ("9000000002",)], "phone STRING").write.parquet(str(tmp_path / "team"))
+    assert jobs.run(spark, argv("team", roles, tmp_path / "out", "--team-table", str(tmp_path / "team")))
+    assert spark.read.parquet(str(tmp_path / "out" / "team_streaks")).count() == 2

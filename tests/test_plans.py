@@ -14,7 +14,8 @@ from cohortlane_checks.queries import QUERIES, followed, make_context
 from tests.fixtures import PLANS, at, context, patient, tables
 
 # report_output writes tables when it is built; its reports are the ones of report_registry.
-PLANNED = [name for name in QUERIES if name != "report_output"]
+WRITES = ("report_output",)
+PLANNED = [name for name in QUERIES if name not in WRITES]
 FORBIDDEN = (
     "CartesianProduct",
     "BroadcastNestedLoopJoin",
@@ -141,6 +142,43 @@ def test_every_report_is_planned(stored):
     assert len(reports.report_full_analytics(stored).columns) == 22
 
 
+def test_scoped_runs_carry_no_hint(spark, folder, tmp_path):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        ctx = followed(make_context(spark, folder))
+        small = registry.scope_to(ctx, features.cohort_base(ctx), str(tmp_path / "s"))
+        team = registry.scope_to(ctx, streaks.team_targets(ctx), str(tmp_path / "t"))
+        pinned = registry.pin(ctx, str(tmp_path / "p"))
+        frames = [features.wide(small), streaks.team_streaks(team), *registry.run_reports(pinned).values()]
+        for df in frames:
+            assert "BroadcastExchange" not in plan_of(df)
+
+
+def test_pinned_reports_join_no_features(spark, folder, tmp_path):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        pinned = registry.pin(make_context(spark, folder), str(tmp_path))
+        assert "Join" not in plan_of(reports.full_table(pinned))
+        assert "Join" not in plan_of(reports.user_table(pinned))
+
+
+FACTS = ("events", "orders", "conversations", "customer")
+
+
+def scans(plan: str) -> dict[str, int]:
+    found = re.findall(r"FileScan parquet [^\n]*?/(\w+)\.parquet\]", plan)
+    return {name: found.count(name) for name in FACTS}
+
+
+def test_final_summary_reads_its_frame_and_not_the_facts(ctx):
+    """The patients are scanned once, when the wide frame is written; what is left is the sheet."""
+    counts = scans(plan_of(QUERIES["summary_final"](ctx)))
+    assert counts["customer"] <= 1 and not any(counts[f] for f in FACTS[:3])
+
+
+def test_single_reports_leave_out_joins_they_do_not_need(ctx):
+    plan = plan_of(reports.progress_inputs(ctx))
+    assert scans(plan)["conversations"] == 0 and scans(plan)["orders"] == 0
+
+
 def test_scope_drops_other_patients_before_the_aggregation(spark, ctx, tmp_path):
     small = registry.scope_to(ctx, features.cohort_base(ctx), str(tmp_path))
     assert small.scope.count() == features.cohort_base(ctx).count()

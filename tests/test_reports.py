@@ -8,8 +8,8 @@ import random
 import pytest
 
 from cohortlane import fixed_values as fv
-from cohortlane.operators import aggregates
-from cohortlane.plans import features, registry, reports
+from cohortlane.operators import aggregates, filters
+from cohortlane.plans import features, registry, reports, streaks
 from tests.fixtures import AS_OF, PLANS, at, context, patient
 
 CONSULTANTS = [(2, "Cleo"), (3, "Dana")]  # nutritionist 4 has no entry
@@ -367,12 +367,59 @@ def test_one_failing_report_does_not_stop_the_others(spark, tmp_path):
         registry.publish(broken, str(tmp_path / "strict"), names, strict=True)
 
 
-@pytest.mark.parametrize("limit", [0, 1000])
-def test_pinned_frames_give_the_same_reports(spark, tmp_path, limit):
-    """Also beyond the number of patients that may be broadcast."""
+def test_pinned_frames_give_the_same_reports(spark, tmp_path):
     ctx = annotated(spark)
-    pinned = registry.pin(ctx, str(tmp_path), limit)
+    pinned = registry.pin(ctx, str(tmp_path))
     assert (tmp_path / "scope").exists() and pinned.scope is None
     for name, frame in registry.run_reports(pinned).items():
         usual = registry.ALL[name](ctx)
         assert sorted(map(str, frame.collect())) == sorted(map(str, usual.collect())), name
+
+
+def test_published_tables_mark_cells_and_hide_columns(spark, tmp_path):
+    ctx = annotated(spark)
+    names = [fv.TITLE_COACH, fv.TITLE_FULL, fv.TITLE_SUMMARY, fv.TITLE_ACTION_TEXTS]
+    paths, failures = registry.publish(ctx, str(tmp_path), names)
+    assert not failures
+    stored = {name: spark.read.parquet(path) for name, path in paths.items()}
+    coach = stored[fv.TITLE_COACH]
+    assert coach.columns == [h for h in fv.USER_HEADINGS.values() if h not in fv.HIDDEN_USER_COLUMNS] + [registry.CLASSES]
+    for r in coach.collect():
+        marks = r[registry.CLASSES]
+        for column in ("User Onboarded", "Meal Log (3 days)", "Weight Log (7 days)"):
+            assert (column in marks) == (r[column] != fv.YES), (column, r)
+    full = stored[fv.TITLE_FULL].collect()
+    assert any(r[registry.CLASSES].get("Goals Set") == fv.CELL_YELLOW for r in full if r["Goals Set"] == fv.NO) or not any(
+        r["Goals Set"] == fv.NO for r in full
+    )
+    assert registry.CLASSES not in stored[fv.TITLE_SUMMARY].columns
+    assert stored[fv.TITLE_ACTION_TEXTS].columns == list(fv.ACTION_HEADINGS.values())
+
+
+def test_action_items_are_the_lists_row_by_row(spark):
+    ctx = annotated(spark)
+    lists = {(r["Consultant"], r["Action"]): r["Patients Pending"] for r in reports.report_actions_required(ctx).collect()}
+    items: dict = {}
+    for r in reports.report_action_items(ctx).collect():
+        items.setdefault((r["Consultant"], r["Action"]), []).append(r["Patient Pending"])
+    assert {k: ", ".join(v) for k, v in items.items()} == lists
+
+
+def test_plan_names_are_excluded_in_any_case_but_with_their_spaces(spark):
+    plans = [(1, "METABOLIC Screening", "GLP"), (2, " Metabolic Screening ", "GLP")]
+    rows = {"patients": [patient(1), patient(2, active_subscription_id=2)], "subscriptions": plans}
+    assert [r.id for r in filters.active_cohort(context(spark, rows), fv.GLP).collect()] == [2]
+
+
+def test_no_list_of_consultants_means_all_of_them(spark):
+    rows = {"patients": [patient(1), patient(2, nutritionist_id=77)], "subscriptions": PLANS}
+    everyone = context(spark, rows, nutritionists=None)
+    assert filters.active_cohort(everyone).count() == 2
+    assert streaks.team_targets(everyone).count() == 2
+    assert filters.active_cohort(context(spark, rows, nutritionists=())).count() == 0
+
+
+def test_a_start_with_a_time_counts_by_its_day(spark):
+    df = spark.sql("SELECT TIMESTAMP '2024-01-30 10:00:00' AS subscription_start_date")
+    assert df.filter(filters.started(dt.date(2024, 1, 30))).count() == 1
+    assert df.filter(filters.started(dt.date(2024, 1, 29))).count() == 0

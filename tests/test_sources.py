@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from cohortlane import ReportContext
@@ -60,9 +61,31 @@ def test_normalise_columns_last_of_equal_names_wins(spark):
     assert got.first() == ("b", "c")
 
 
-def test_large_sheet_is_split_and_keeps_its_order(spark, tmp_path):
-    lines = ["Name,Not onboarding reason"] + [f"P{i % 1000},reason {i}" for i in range(60_000)]
-    path = write(tmp_path, lines)
+def test_cells_with_line_breaks_and_quotes_stay_whole(spark, tmp_path):
+    path = write(
+        tmp_path,
+        [
+            "Name,Not onboarding reason,Meal logging reason",
+            'Ann,"line one\nline two",x',
+            'Bob,"said ""no"" twice, ok",y',
+            "Cid,,z",
+        ],
+    )
+    rows = sheet_role(read_sheet(spark, path)).orderBy("row_no").collect()
+    assert [r.name for r in rows] == ["Ann", "Bob", "Cid"]
+    assert [r.not_onboarding_reason for r in rows] == ["line one\nline two", 'said "no" twice, ok', ""]
+    assert [r.meal_logging_reason for r in rows] == ["x", "y", "z"]
+
+
+def test_large_sheet_of_several_files_keeps_its_order(spark, tmp_path):
+    """Later files are smaller, so that the order of reading is not the order of their names."""
+    path = str(tmp_path / "sheets")
+    (tmp_path / "sheets").mkdir()
+    at = 0
+    for n, size in enumerate((30_000, 20_000, 9_000, 1_000)):
+        lines = [f"P{i % 1000},reason {i}" for i in range(at, at + size)]
+        (tmp_path / "sheets" / f"part-{n}.csv").write_text("\n".join(["Name,Not onboarding reason", *lines]) + "\n")
+        at += size
     spark.conf.set("spark.sql.files.maxPartitionBytes", "200000")
     try:
         sheet = read_sheet(spark, path)
@@ -100,15 +123,19 @@ def test_drop_hidden(spark):
 
 
 def test_shared_folder_follows_the_session(spark):
-    class Conf:
-        def get(self, key, default=None):
-            return {"spark.checkpoint.dir": "hdfs://shared/dir/"}.get(key, default)
-
     class Session:
-        conf = Conf()
+        def __init__(self, **values):
+            self.values = {k.replace("_", "."): v for k, v in values.items()}
 
-    first, second = sinks.shared_folder(Session()), sinks.shared_folder(Session())
+        @property
+        def conf(self):
+            return self.values
+
+    named = Session(spark_checkpoint_dir="hdfs://shared/dir/", spark_sql_warehouse_dir="hdfs://house")
+    first, second = sinks.shared_folder(named), sinks.shared_folder(named)
     assert first.startswith("hdfs://shared/dir/cohortlane-") and first != second
+    unnamed = Session(spark_sql_warehouse_dir="hdfs://house")
+    assert sinks.shared_folder(unnamed).startswith("hdfs://house/cohortlane-")
     assert sinks.shared_folder(spark) != sinks.shared_folder(spark)
 
 
@@ -133,7 +160,8 @@ def test_role_folder(spark, tmp_path):
     for role, df in frames.items():
         df.write.parquet(f"{tmp_path}/{role}.parquet")
     ctx = ReportContext(
-        spark=spark, read=folder_reader(spark, str(tmp_path)), as_of=dt.date(2024, 1, 31), nutritionists=(2,)
+        spark=spark, read=folder_reader(spark, str(tmp_path)), as_of=dt.date(2024, 1, 31), nutritionists=(2,),
+        run_ts=dt.datetime(2024, 1, 31, 6),
     )
     memory = context(spark, rows, nutritionists=(2,))
     stored, direct = (reports.full_table(c).orderBy("patient_id").collect() for c in (ctx, memory))
@@ -144,3 +172,19 @@ def test_role_folder(spark, tmp_path):
 def test_source_names_become_snake_case(spark):
     df = spark.sql("SELECT 1 AS id, true AS isActive, 2 AS createdAt, 3 AS messagedAt")
     assert snake_columns(df).columns == ["id", "is_active", "created_at", "messaged_at"]
+
+
+def test_roles_are_read_under_the_source_names(spark, tmp_path):
+    """As the source has them: camel-case names, and columns of other types and more than asked for."""
+    spark.sql("SELECT 1L AS chat_id, 2 AS sender, TIMESTAMP '2024-01-30 10:00:00' AS messagedAt, 'x' AS more").write.parquet(
+        f"{tmp_path}/messages.parquet"
+    )
+    read = folder_reader(spark, str(tmp_path))("messages")
+    assert read.dtypes == [("chat_id", "bigint"), ("sender", "bigint"), ("messaged_at", "timestamp")]
+    assert read.first().messaged_at == dt.datetime(2024, 1, 30, 10)
+
+
+def test_an_absent_column_is_an_error(spark, tmp_path):
+    spark.sql("SELECT 1L AS chat_id, 2L AS sender").write.parquet(f"{tmp_path}/messages.parquet")
+    with pytest.raises(ValueError, match="messaged_at"):
+        folder_reader(spark, str(tmp_path))("messages")
