@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import decontamination, language_id, line_dedup, mixing, near_dedup, quality, secrets, substring_dedup, topk, url_filter
 from .columns import held_out
+from .store import table
 
 #: The rules of op10, as the contract gives them.
 URL_RULES = (
@@ -19,10 +20,6 @@ URL_RULES = (
 )
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
 def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     done = secrets.scan_secrets(docs, carry=("doc_id",))

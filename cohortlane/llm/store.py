@@ -19,6 +19,17 @@ def shared_folder(spark: SparkSession) -> str:
     return named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_llm_steps"
 
 
+#: What Python workers get at once. Spark's default of 64 MB, held as Arrow data, as Python texts and as
+#: result by several workers, is much of a small executor's memory.
+BATCH_BYTES = 4 << 20
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table to run an operator on, with the session's Arrow batches bounded by BATCH_BYTES."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
 class Steps:
     """Tables of one run of an operator, in a folder of its own; drop() removes one no longer read."""
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cohortlane.llm import decontamination, language_id, line_dedup, mixing, near_dedup
 from cohortlane.llm.columns import held_out
-from cohortlane.llm.store import Steps
+from cohortlane.llm.store import BATCH_BYTES, Steps, table
 
 
 def _with_text(packed: DataFrame, columns: list[str], text: str) -> DataFrame:
@@ -25,6 +25,7 @@ def _rows(packed: DataFrame, columns: list[str]) -> DataFrame:
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no language can be told (no letter, or no text) go; all others stay as they are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     model = language_id.train(docs.filter(~held_out("doc_id")))
     return _rows(language_id.identify(docs, model).filter(F.col("lang_pred") != language_id.UNKNOWN), docs.columns)
 
@@ -41,7 +42,7 @@ def keep_first_of_alike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of whose words a twentieth or more are benchmark passages go; all others stay whole."""
-    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    items = table(spark, sf_dir, "benchmark")
     return _rows(decontamination.find_contamination(docs, items).filter("NOT contaminated"), docs.columns)
 
 
@@ -67,7 +68,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     steps = Steps(spark, "pipeline")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for n, (_, stage) in enumerate(STAGES):
         docs = steps.keep(stage(spark, docs, sf_dir), f"stage_{n}")
     return docs
