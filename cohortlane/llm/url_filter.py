@@ -72,8 +72,8 @@ def _sweep(rules: list[Rule], ranks: list[int]):
         stack: list[list[int]] = []
         upcoming = None
         for batch in batches:
-            ids, hosts, paths, sorted_keys, found = (batch.column(i) for i in range(5))
-            best = found.to_pylist()
+            ids, hosts, paths, sorted_keys, found, texts, verdicts = batch.columns
+            best, texts, verdicts = found.to_pylist(), texts.to_pylist(), verdicts.to_pylist()
             for row, (key, path) in enumerate(zip(sorted_keys.to_pylist(), paths.to_pylist(), strict=True)):
                 if upcoming is None:
                     stack, upcoming = around(key), bisect.bisect_right(keys, key)
@@ -90,22 +90,18 @@ def _sweep(rules: list[Rule], ranks: list[int]):
                 for level in stack:
                     for i in level:
                         if path.startswith(rules[i].path) and (best[row] is None or ranks[i] < best[row]):
-                            best[row] = ranks[i]
+                            best[row], texts[row], verdicts[row] = ranks[i], rules[i].text, rules[i].verdict
             yield pa.RecordBatch.from_arrays(
-                [ids, hosts, paths, sorted_keys, pa.array(best, pa.int32())], names=batch.schema.names
-            )
-
-    return run
-
-
-def _named(by_rank: list[Rule]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [None if i is None else by_rank[i] for i in batch.column(4).to_pylist()]
-            rule = pa.array([r and r.text for r in found], pa.string())
-            verdict = pa.array([r and r.verdict for r in found], pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], rule, verdict], names=[*batch.schema.names[:3], "rule", "verdict"]
+                [
+                    ids,
+                    hosts,
+                    paths,
+                    sorted_keys,
+                    pa.array(best, pa.int32()),
+                    pa.array(texts, pa.string()),
+                    pa.array(verdicts, pa.string()),
+                ],
+                names=batch.schema.names,
             )
 
     return run
@@ -131,18 +127,18 @@ def judge_urls(
     urls = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
     labels = F.transform(F.reverse(F.split("host", r"\.", -1)), lambda c: F.concat(c, F.lit(".")))
     kind = urls.schema["id"].dataType.simpleString()
-    keyed = urls.select("*", F.array_join(labels, "").alias("key"), F.lit(None).cast("int").alias("found"))
+    nothing = {"found": "int", "rule": "string", "verdict": "string"}
+    keyed = urls.select(
+        "*", F.array_join(labels, "").alias("key"), *[F.lit(None).cast(t).alias(n) for n, t in nothing.items()]
+    )
     # The id is part of the range, so that one host with very many urls is spread over tasks.
     partitions = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     swept = keyed.repartitionByRange(partitions, "key", "id").sortWithinPartitions("key")
+    schema = f"id {kind}, host string, path string, key string, found int, rule string, verdict string"
     for start in range(0, len(by_key), RULES_IN_A_SWEEP):
         ranks = by_key[start : start + RULES_IN_A_SWEEP]
-        swept = swept.mapInArrow(
-            _sweep([by_rank[i] for i in ranks], ranks), f"id {kind}, host string, path string, key string, found int"
-        )
-    # Names are joined by rank in a task; the rules are the same list that the sweeps had.
-    named = swept.mapInArrow(_named(by_rank), f"id {kind}, host string, path string, rule string, verdict string")
-    return named.select(
+        swept = swept.mapInArrow(_sweep([by_rank[i] for i in ranks], ranks), schema)
+    return swept.select(
         F.col("id").alias(id_col),
         "host",
         "path",
