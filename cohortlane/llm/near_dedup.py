@@ -37,7 +37,7 @@ REGION = 4096
 #: Shingles of a cluster, or of a block of one, that meet in one task.
 BLOCK_SHINGLES = 1_500_000
 #: Nodes likewise.
-BLOCK_NODES = 2048
+BLOCK_NODES = 512
 #: Share of places on which signatures must agree: 0.75 less four deviations of 128 draws.
 ALIKE = 0.60
 
