@@ -370,7 +370,8 @@ def find_near_duplicates(
 
     rooted = classes.select("node", "least").join(reached, "node", "left")
     rooted = rooted.select("node", "least", F.coalesce("root", "node").alias("root"))
-    first = rooted.groupBy("root").agg(F.min("least").alias("component"))
+    # Written before it is joined, so that a component with very many nodes can be split.
+    first = steps.keep(rooted.groupBy("root").agg(F.min("least").alias("component")), "first")
     named = steps.keep(rooted.join(first, "root").select("node", "component"), "named")
 
     # Documents with an empty set stand for themselves.

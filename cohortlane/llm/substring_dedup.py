@@ -298,7 +298,8 @@ def dedup_passages(
 
     # Symbols of at least two documents; all others are done with.
     both = (F.min("doc") < F.max("doc")) | ((F.count("doc") < F.count(F.lit(1))) & (F.count("doc") > 0))
-    common = found.groupBy("symbol").agg(both.alias("both")).filter("both").select("symbol")
+    # Written before it is joined: between two exchanges a symbol with very many groups can be split.
+    common = steps.keep(found.groupBy("symbol").agg(both.alias("both")).filter("both").select("symbol"), "common")
     shared = steps.keep(found.join(common, "symbol", "left_semi"), "shared")
     steps.drop("groups")
     later = F.col("least").isNotNull() & (F.col("doc").isNull() | (F.col("least") < F.col("doc")))
@@ -309,10 +310,11 @@ def dedup_passages(
 
     # Groups that are first of their kind but have a symbol with groups of other words: window by window.
     several = least.groupBy("symbol").agg((F.count(F.lit(1)) > 1).alias("several")).filter("several").select("symbol")
+    several = steps.keep(several, "several")
     parts = _spans(judged.filter("NOT later").join(several, "symbol", "left_semi"))
     opened = source.join(parts, _same_place()).select("doc", "version", "text", "spans")
     named = steps.keep(opened.mapInArrow(_window_names(window), rows("words", "span")), "windows")
-    first = named.groupBy("words").agg(F.min("doc").alias("least"))
+    first = steps.keep(named.groupBy("words").agg(F.min("doc").alias("least")), "first")
     met = named.join(first, "words").filter(later)
 
     gone = _spans(judged.filter("later").select("doc", "version", "span").unionByName(met.select("doc", "version", "span")))
