@@ -130,26 +130,42 @@ def cohort_base(ctx: ReportContext, plan_type: str | None = None) -> DataFrame:
     )
 
 
-def wide(ctx: ReportContext, prev: bool = True, active: bool = True) -> DataFrame:
-    """One row per patient of the cohorts with everything the user reports derive from.
+PARTS = ("engagement", "consultant", "weights", "notes", "active_days", "side_effects")
 
-    Every joined frame is unique by patient, so a report that leaves a frame's columns
-    out is planned without that join.  Stored by :func:`stored_wide` it is read as it is.
+
+def wide(
+    ctx: ReportContext, parts: tuple[str, ...] = PARTS, prev: bool = False, active: bool = False
+) -> DataFrame:
+    """One row per patient of the cohorts, with the parts that a report derives from.
+
+    Every part is unique by patient and joined once.  Where a run has stored the frame
+    (:func:`stored_wide`), it is read as it is, whatever parts are asked for.
     """
 
     def build() -> DataFrame:
-        members = join_consultant(cohort_base(ctx), ctx.role("consultants"))
-        parts = [engagement(ctx, prev, active), weights(ctx), notes(ctx), recent_active_days(ctx), side_effect_texts(ctx)]
-        return join_features(members, parts)
+        rows = cohort_base(ctx)
+        if "consultant" in parts:
+            rows = join_consultant(rows, ctx.role("consultants"))
+        frames = {
+            "engagement": lambda: engagement(ctx, prev, active),
+            "weights": lambda: weights(ctx),
+            "notes": lambda: notes(ctx),
+            "active_days": lambda: recent_active_days(ctx),
+            "side_effects": lambda: side_effect_texts(ctx),
+        }
+        return join_features(rows, [make() for name, make in frames.items() if name in parts])
 
     return ctx.shared("wide", build)
 
 
-def stored_wide(ctx: ReportContext, folder: str | None = None) -> ReportContext:
-    """The context with its wide frame written once, for reports that meet it several times."""
+def stored_wide(
+    ctx: ReportContext, parts: tuple[str, ...] = PARTS, prev: bool = False, active: bool = False, folder: str | None = None
+) -> ReportContext:
+    """The context with its wide frame written once, for what meets it several times."""
     if ctx.holds("wide"):
         return ctx
-    return ctx.pinned({"wide": written_table(wide(ctx), folder or shared_folder(ctx.spark), "wide")})
+    rows = wide(ctx, parts, prev, active)
+    return ctx.pinned({"wide": written_table(rows, folder or shared_folder(ctx.spark), "wide")})
 
 
 def since(last: str, first_day: dt.date) -> Column:
@@ -199,7 +215,7 @@ def status_column(on: Column, current: str) -> Column:
 
 def summary_features(ctx: ReportContext) -> DataFrame:
     """Both cohorts with today's and yesterday's flags: all the summary counts from one frame."""
-    joined = wide(ctx, active=False)
+    joined = wide(ctx, ("engagement", "weights"), prev=True)
     columns = {
         **today_columns(ctx),
         **prev_columns(ctx),

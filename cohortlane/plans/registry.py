@@ -66,7 +66,8 @@ def pin(ctx: ReportContext, folder: str | None = None) -> ReportContext:
     """
     folder = folder or shared_folder(ctx.spark)
     scoped = scope_to(ctx, features.cohort_base(ctx), folder)
-    ctx = ctx.pinned({"wide": written_table(features.wide(scoped), folder, "wide")})
+    rows = features.wide(scoped, prev=True, active=True)
+    ctx = ctx.pinned({"wide": written_table(rows, folder, "wide")})
     return ctx.pinned({"annotated": written_table(reports.annotated_table(ctx), folder, "annotated")})
 
 

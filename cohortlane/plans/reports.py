@@ -57,7 +57,7 @@ def report_summary_comparison(ctx: ReportContext) -> DataFrame:
 
 def user_flags(ctx: ReportContext, plan_type: str | None = None, active: bool = False) -> DataFrame:
     """One row per active patient with what is asked of them; ``track`` still holds the goal weight."""
-    rows = _of_plan(wide(ctx, prev=False, active=active), plan_type)
+    rows = _of_plan(wide(ctx, ("engagement", "consultant"), active=active), plan_type)
     return flag_columns(ctx, rows, *(["last_active_day"] if active else []))
 
 
@@ -81,9 +81,12 @@ def flag_columns(ctx: ReportContext, rows: DataFrame, *more: str) -> DataFrame:
     )
 
 
+USER_PARTS = ("engagement", "consultant", "active_days", "side_effects")
+
+
 def user_table(ctx: ReportContext, plan_type: str | None = None) -> DataFrame:
     """The flags with side effects and active days."""
-    rows = _of_plan(wide(ctx, prev=False), plan_type)
+    rows = _of_plan(wide(ctx, USER_PARTS, active=True), plan_type)
     joined = flag_columns(ctx, rows, "last_active_day", "side_effects", "active_days")
     filled = {
         "side_effects": F.coalesce("side_effects", F.lit(fv.NONE_TEXT)),
@@ -106,7 +109,7 @@ def report_glp_users(ctx: ReportContext) -> DataFrame:
 def progress_inputs(ctx: ReportContext) -> DataFrame:
     """The weight columns of the full table, without its other joins."""
     start, current = F.col("start_weight"), F.col("current_weight")
-    return wide(ctx, prev=False, active=False).select(
+    return wide(ctx, ("weights",)).select(
         "patient_id",
         "cohort",
         F.trim("firstname").alias("patient_name"),
@@ -118,7 +121,7 @@ def progress_inputs(ctx: ReportContext) -> DataFrame:
 
 
 def full_table(ctx: ReportContext) -> DataFrame:
-    joined = wide(ctx, prev=False)
+    joined = wide(ctx, ("engagement", "weights", "notes", "active_days"), active=True)
     start, goal, current = F.col("start_weight"), F.col("goal_weight"), F.col("current_weight")
     days = day_diff(day(ctx.as_of), F.col("start_day"))
     contact = latest_of(F.to_date("last_note_date"), F.col("last_visit_day"), F.col("last_message_day"))
@@ -230,7 +233,7 @@ def annotated_track(ctx: ReportContext) -> DataFrame:
     """Cohort and track status of the annotated users, without the joins their other columns need."""
 
     def build() -> DataFrame:
-        rows = wide(ctx, prev=False, active=False)
+        rows = wide(ctx, ())
         users = rows.select("patient_id", "cohort", trim_alias(F.col("firstname"), "patient_name"))
         joined = join_progress(users, progress_inputs(ctx), ctx.role("sheet"), ctx)
         track = F.coalesce("progress", F.lit(fv.DATA_INCOMPLETE)).alias("track")
@@ -251,12 +254,12 @@ def annotated_flags(ctx: ReportContext) -> DataFrame:
 
 def report_annotated_users(ctx: ReportContext, plan_type: str | None = None) -> DataFrame:
     """The user tables as published, with ``__cell_classes__`` telling which cells were replaced."""
-    users = _of_plan(annotated_table(stored_wide(ctx)), plan_type)
+    users = _of_plan(annotated_table(stored_wide(ctx, (*USER_PARTS, "weights"), active=True)), plan_type)
     return titled(users, {**fv.USER_HEADINGS, "cell_classes": "__cell_classes__"})
 
 
 def report_summary_final(ctx: ReportContext) -> DataFrame:
-    ctx = stored_wide(ctx)
+    ctx = stored_wide(ctx, ("engagement", "weights"), prev=True)
     final = recount(summary_table(ctx), annotated_track(ctx))
     return titled(sorted_report(final, ["sort_order"]), fv.SUMMARY_HEADINGS)
 

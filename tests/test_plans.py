@@ -148,7 +148,7 @@ def test_scoped_runs_carry_no_hint(spark, folder, tmp_path):
         small = registry.scope_to(ctx, features.cohort_base(ctx), str(tmp_path / "s"))
         team = registry.scope_to(ctx, streaks.team_targets(ctx), str(tmp_path / "t"))
         pinned = registry.pin(ctx, str(tmp_path / "p"))
-        frames = [features.wide(small), streaks.team_streaks(team), *registry.run_reports(pinned).values()]
+        frames = [features.wide(small, prev=True, active=True), streaks.team_streaks(team), *registry.run_reports(pinned).values()]
         for df in frames:
             assert "BroadcastExchange" not in plan_of(df)
 
