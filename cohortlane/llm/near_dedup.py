@@ -2,11 +2,11 @@
 
 A document is its set of distinct 5-word shingles; documents with equal sets are one node from then on.
 A node's 128 MinHash values are read in TREES different orders. In each tree the nodes that agree on the
-first DEPTH values are a region; a region of more than REGION nodes is cut deeper, by further values of
-its order, until it is small enough. Within a region, nodes whose signatures agree on enough places are
-candidates; only a forest that holds them together leaves the task, as stars. The components of all these
-forests are clusters: any two linked documents lie in one cluster but for the small chance that they meet
-in no region or that their signatures agree too little.
+first DEPTH values are a region; a region of more than REGION nodes is not cut deeper, which would part
+linked nodes, but dealt into blocks that meet two by two. Within a region, nodes whose signatures agree on
+enough places are candidates; only forests that hold them together leave the tasks, as stars. The components
+of all these forests are clusters: any two linked documents lie in one cluster but for the small chance that
+they meet in no region or that their signatures agree too little, whatever the size of the regions.
 
 Each cluster's whole sets then meet in one task, or, for a large cluster, in blocks that meet two by two.
 There pairs are confirmed on the whole sets from the most alike on, and a pair that is already held
@@ -32,7 +32,7 @@ from .words import chunks, gram_names, mix, words_of
 PERMUTATIONS = 128
 TREES = 20
 DEPTH = 3
-#: Nodes of a region that meet in one task; a larger one is cut deeper.
+#: Nodes of a region, or of a block of one, that meet in one task.
 REGION = 4096
 #: Shingles of a cluster, or of a block of one, that meet in one task.
 BLOCK_SHINGLES = 1_500_000
@@ -53,14 +53,8 @@ _TIMES, _PLUS = _factors()
 
 
 def _orders() -> np.ndarray:
-    """For each tree an order of the 128 places; trees start on different places as far as there are any."""
-    rng = np.random.default_rng(5)
-    rows = []
-    for tree in range(TREES):
-        own = (np.arange(DEPTH) + tree * DEPTH) % PERMUTATIONS
-        rest = rng.permutation(np.setdiff1d(np.arange(PERMUTATIONS), own))
-        rows.append(np.concatenate([own, rest]))
-    return np.array(rows)
+    """For each tree the places it reads; trees read different places as far as there are any."""
+    return np.arange(TREES * DEPTH).reshape(TREES, DEPTH) % PERMUTATIONS
 
 
 ORDERS = _orders()
@@ -102,7 +96,7 @@ def _tree_keys(values: np.ndarray) -> np.ndarray:
     keys = np.empty((len(values), TREES), _U64)
     for tree in range(TREES):
         total = np.full(len(values), _U64(tree + 1))
-        for place in ORDERS[tree, :DEPTH]:
+        for place in ORDERS[tree]:
             total = mix(total + values[:, place])
         keys[:, tree] = total
     return keys
@@ -183,32 +177,29 @@ def _comparable(sizes: np.ndarray, i: int, share: float) -> np.ndarray:
 
 
 def _regions(share: float):
-    """Sorted (key, node, n, signature) to stars over candidates of each region."""
+    """Sorted (key, i, j, node, n, signature) to stars over candidates of each region, or two blocks of one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least = int(np.ceil(ALIKE * PERMUTATIONS))
-        for _, rows in _by_key(batches, 1):
-            # Only a region whose nodes agree on every place is larger than REGION: blocks of it overlap by one.
-            for at in range(0, max(1, len(rows) - 1), REGION):
-                part = rows[at : at + REGION + 1]
-                nodes = [r[0] for r in part]
-                sizes = np.array([r[1] for r in part])
-                signs = np.frombuffer(b"".join(r[2] for r in part), np.uint16).reshape(len(part), -1)
-                forest = Joined(len(part))
-                for i in range(len(part) - 1):
-                    if (forest.label[i + 1 :] == forest.label[i]).all():
-                        continue
-                    alike = (_agreement(signs, i) >= least) & _comparable(sizes, i, share)
-                    for j in np.flatnonzero(alike) + i + 1:
-                        if forest.label[i] != forest.label[j]:
-                            forest.join(i, int(j))
-                hubs, leaves = [], []
-                for members in forest.members:
-                    if len(members) > 1:
-                        hub = min(nodes[m] for m in members)
-                        hubs += [hub] * len(members)
-                        leaves += [nodes[m] for m in members]
-                yield pa.RecordBatch.from_arrays([pa.array(hubs, pa.int64()), pa.array(leaves, pa.int64())], names=["a", "b"])
+        for _, rows in _by_key(batches, 3):
+            nodes = [r[0] for r in rows]
+            sizes = np.array([r[1] for r in rows])
+            signs = np.frombuffer(b"".join(r[2] for r in rows), np.uint16).reshape(len(rows), -1)
+            forest = Joined(len(rows))
+            for i in range(len(rows) - 1):
+                if (forest.label[i + 1 :] == forest.label[i]).all():
+                    continue
+                alike = (_agreement(signs, i) >= least) & _comparable(sizes, i, share)
+                for j in np.flatnonzero(alike) + i + 1:
+                    if forest.label[i] != forest.label[j]:
+                        forest.join(i, int(j))
+            hubs, leaves = [], []
+            for members in forest.members:
+                if len(members) > 1:
+                    hub = min(nodes[m] for m in members)
+                    hubs += [hub] * len(members)
+                    leaves += [nodes[m] for m in members]
+            yield pa.RecordBatch.from_arrays([pa.array(hubs, pa.int64()), pa.array(leaves, pa.int64())], names=["a", "b"])
 
     return run
 
@@ -266,24 +257,20 @@ def _confirm(share: float):
     return run
 
 
-def _deeper(level: int):
-    """(key, tree, node, signature) to the key one level deeper: DEPTH further values of the tree's order."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not len(batch):
-                continue
-            keys = batch.column(0).to_numpy().view(_U64)
-            trees = batch.column(1).to_numpy()
-            signs = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint16).reshape(len(batch), -1).astype(_U64)
-            places = ORDERS[trees, level * DEPTH : (level + 1) * DEPTH]
-            for column in range(places.shape[1]):
-                keys = mix(keys + signs[np.arange(len(batch)), places[:, column]])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64)), batch.column(1), batch.column(2)], names=["key", "tree", "node"]
-            )
+def _met(rows: DataFrame, key: str) -> DataFrame:
+    """(key, node, ..., blocks) to (key, i, j, node, ...), sorted: what meets in one task.
 
-    return run
+    A key in one block meets once, as (0, 0); of more blocks each meets each other, as (i, j).
+    """
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    other = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(
+        F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: j != own)
+    )
+    carried = [c for c in rows.columns if c not in (key, "blocks")]
+    met = rows.select(key, own.alias("own"), F.explode(other).alias("other"), *carried)
+    met = met.select(key, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), *carried)
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return met.repartition(parts, key, "i", "j").sortWithinPartitions(key, "i", "j")
 
 
 def find_near_duplicates(
@@ -328,20 +315,9 @@ def find_near_duplicates(
     # Trees often find the same region; one of them is enough.
     chosen = counts.groupBy("which", "size").agg(F.min("key").alias("key")).select("key", "size")
     inside = steps.keep(regions.join(chosen, "key"), "regions")
-    level = 1
-    while (level + 1) * DEPTH <= PERMUTATIONS and not inside.filter(F.col("size") > region).isEmpty():
-        large = inside.filter(F.col("size") > region).select("key", "tree", "node")
-        large = large.join(classes.select("node", "signature"), "node").select("key", "tree", "node", "signature")
-        large = steps.keep(large.mapInArrow(_deeper(level), "key long, tree int, node long"), f"deeper_{level}")
-        sizes = large.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-        inside = inside.filter(F.col("size") <= region).unionByName(large.join(sizes, "key").select(inside.columns))
-        inside = steps.keep(inside, f"regions_{level}")
-        level += 1
-
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     signed = classes.select("node", "n", "signature")
-    gathered = inside.select("key", "node").join(signed, "node").select("key", "node", "n", "signature")
-    gathered = gathered.repartition(parts, "key").sortWithinPartitions("key")
+    blocks = F.ceil(F.col("size") / region).cast("int").alias("blocks")
+    gathered = _met(inside.select("key", "node", blocks).join(signed, "node").select("key", "node", "n", "signature", "blocks"), "key")
     stars = gathered.mapInArrow(_regions(share), "a long, b long")
     clusters = steps.keep(connected_components(stars, steps, "clusters"), "clusters")
 
@@ -354,17 +330,8 @@ def find_near_duplicates(
     texts = chosen.join(source, same).select("cluster", "node", "signature", "text")
     sets = texts.mapInArrow(_sets(width), "cluster long, node long, signature binary, shingles binary")
     sets = steps.keep(sets, "sets")
-    # A cluster in one block meets once; of b blocks each meets each other.
     blocks = sets.join(total.withColumnRenamed("root", "cluster"), "cluster")
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    other = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(
-        F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: j != own)
-    )
-    met = blocks.select("cluster", own.alias("own"), F.explode(other).alias("other"), "node", "signature", "shingles")
-    met = met.select(
-        "cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "signature", "shingles"
-    )
-    met = met.repartition(parts, "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
+    met = _met(blocks.select("cluster", "node", "signature", "shingles", "blocks"), "cluster")
     links = met.mapInArrow(_confirm(share), "a long, b long")
     reached = steps.keep(connected_components(links, steps, "linked"), "linked")
 

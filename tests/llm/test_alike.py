@@ -81,6 +81,24 @@ def test_near_duplicates(spark, monkeypatch, region):
     assert near_dedup.find_near_duplicates(cases.empty(spark)).count() == 0
 
 
+def test_large_regions_lose_no_link(spark):
+    """Pairs barely linked, half of every document one template; each region of two or more is above the limit."""
+    rng = random.Random(12)
+    template = cases.prose(rng, 120).replace("\n", " ")
+    rows = []
+    for i in range(40):
+        own = cases.prose(rng, 120).replace("\n", " ")
+        rows.append((2 * i, f"{template} {own}", "en", "a", 1))
+        words = own.split(" ")
+        for k in (10, 30, 50, 70, 90, 110):
+            words[k] = "X" + words[k]
+        rows.append((2 * i + 1, f"{template} {' '.join(words)}", "en", "a", 1))
+    done = near_dedup.find_near_duplicates(cases.frame(spark, rows), region=1)
+    got = cases.collected(done.select("row.doc_id", "row.node", "n_shingles", "component_id", "kept"))
+    assert sum(g[4] for g in got) == 40
+    assert got == brute_near(rows)
+
+
 def test_components(spark):
     rng = random.Random(9)
     pairs = [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(40)] + [(100 + i, 101 + i) for i in range(30)] + [(5, 5)]
