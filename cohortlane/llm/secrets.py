@@ -1,14 +1,15 @@
 """Secret scans: patterns, and a battery of randomness tests with false-discovery control.
 
-Three patterns find assignments, access keys and long hexadecimal runs. Beside them every run of 20 or
-more characters of [A-Za-z0-9+/_=-] is a candidate. Its encoding is the smallest alphabet that holds its
-characters, and three statistics tell how unlike random text over that alphabet it is: chi-squared
-against equal use of all characters, the number of runs above and below the alphabet's middle, and the
-correlation of neighbours. Ordinary writing is the null hypothesis: the corpus's own pairs of neighbouring
-characters, counted over all texts, are drawn from to learn how the battery is distributed over
-ordinary runs of each length. A candidate is reported if its p-value under ordinary writing passes
-Benjamini and Hochberg's rule among all candidates of its class of lengths, and no test rejects that it
-is random. So short runs, on which ordinary and random text look alike, need no limit of their own.
+Three patterns find assignments, access keys and long hexadecimal runs. Beside them every run of 20 or more
+characters of [A-Za-z0-9+/_-] is a candidate, with the = signs that pad its end; an = before more of them
+parts a name from a value, which is a candidate of its own. Its encoding is the smallest alphabet that
+holds its characters, and three statistics tell how unlike random text over that alphabet it is:
+chi-squared against equal use of all characters, the number of runs above and below the alphabet's middle,
+and the correlation of neighbours. Ordinary writing is the null hypothesis: the corpus's own pairs of
+neighbouring characters, counted over all texts, are drawn from to learn how the battery is distributed
+over ordinary runs of each length. A candidate is reported if its p-value under ordinary writing passes
+Benjamini and Hochberg's rule among all candidates of its class of lengths, and no test rejects that it is
+random. So short runs, on which ordinary and random text look alike, need no limit of their own.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ _ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 # The same matches as AKIA[A-Z0-9]+ of 20 and [0-9a-f]+ of 24 characters or more: both runs are maximal.
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}(?:=+(?![A-Za-z0-9+/_=-]))?")
 
 _ORDER = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/-_"
 #: Encodings from the smallest alphabet to the largest; a candidate has the first that holds it.

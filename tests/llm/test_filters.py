@@ -59,6 +59,27 @@ def test_secret_scan_adds_random_runs_and_no_words(spark):
     assert secrets.scan_secrets(cases.empty(spark)).count() == 0
 
 
+def test_secret_scan_tests_values_after_names(spark):
+    """NAME=value without blanks: the value is a candidate, also padded, and the name is no part of it."""
+    rng = random.Random(4)
+    rows = cases.awkward(rng)
+    alphabet = secrets._ORDER[:62] + "+/"
+    shapes = ["AWS_SECRET_ACCESS_KEY={}", "SESSION_KEY={}", "https://example.org/a?sig={}&x=1", "k=={}==", "{}==", "_AVERYLONGNAMEOFSOMEVALUE={}="]
+    planted = {}
+    for i in range(100, 160):
+        token = "".join(rng.choice(alphabet) for _ in range(44))
+        shape = shapes[i % len(shapes)]
+        planted[i] = token + "=" * (len(shape) - len(shape.rstrip("=")))
+        rows.append((i, cases.prose(rng, 60) + " " + shape.format(token) + " thisisaverylongwordofordinarywriting", "en", "a", 1))
+    found = {}
+    for doc_id, text, spans in secrets.scan_secrets(cases.frame(spark, rows)).select("row.doc_id", "row.text", "random").collect():
+        for s, _, e in spans:
+            assert planted.get(doc_id) == text[s:e], text[s:e]
+            found[doc_id] = text[s:e]
+    for k, shape in enumerate(shapes):
+        assert sum(i % len(shapes) == k for i in found) >= 8, shape
+
+
 def test_lines(spark):
     rows = cases.awkward(random.Random(5))
     key = lambda line: cases.lower(line.strip(" \t\n\x0b\x0c\r"))
