@@ -3,16 +3,23 @@
 from __future__ import annotations
 
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
+from cohortlane.llm.language_id import has_letter
 from cohortlane.llm.oracle import ORACLE
 from cohortlane.llm.queries import QUERIES
 from cohortlane_checks.compare import difference, duck
 
+from . import cases
+from .test_alike import brute_near, copies, shingles
+from .test_filters import brute_contamination
+from .test_models import targets
+
 SMALL = "/root/testdata/sf0.001"
 
 
@@ -39,3 +46,38 @@ def test_pipeline_stages_keep_columns_and_documents(spark, tmp_path):
         before = spark.read.parquet(path)
     assert 0 < before.count() <= docs.count()
     assert before.filter("taken < 0 OR taken > 2 * size").count() == 0
+
+
+def test_pipeline_rows_are_those_of_plain_python(spark, tmp_path):
+    """All but the random rounding, with awkward documents through all stages."""
+    rng = random.Random(14)
+    items = [(1, cases.prose(rng, 30, "be")), (2, None), (3, "nothing")]
+    rows = cases.awkward(rng) + copies(rng)
+    rows += [(2000, f"{items[0][1]} and more", "en", "b", 1), (2001, cases.prose(rng, 900) + " " + items[0][1], "en", "b", 1)]
+    cases.frame(spark, rows, False).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    done = corpus_pipeline.run(spark, str(tmp_path)).select("doc_id", "source", "size", "source_size", "target", "taken")
+    got = cases.collected(done)
+
+    left = [r for r in rows if has_letter(r[1])]
+    key = lambda line: cases.lower(line.strip(" \t\n\x0b\x0c\r"))
+    held: dict[str, set] = {}
+    for r in left:
+        for line in r[1].split("\n"):
+            if len(key(line)) >= 10:
+                held.setdefault(key(line), set()).add(r[0])
+    first = {k: min((d for d in ids if d is not None), default=None) for k, ids in held.items() if len(ids) > 1}
+    left = [(r[0], "\n".join(x for x in r[1].split("\n") if first.get(key(x), r[0]) == r[0]), *r[2:]) for r in left]
+    kept = {(g[0], g[2]) for g in brute_near(left) if g[4]}
+    left = [r for r in left if (r[0], len(shingles(r[1]))) in kept]
+    clean = [r for r in left if not brute_contamination(r[1], items)[3]]
+    assert len(clean) < len(left) < len(rows) and 2001 in {r[0] for r in clean}
+    sizes: dict = {}
+    for r in clean:
+        sizes[r[3]] = sizes.get(r[3], 0) + len(cases.words_of(r[1]))
+    names = sorted(s for s in sizes if s is not None) + [None] * (None in sizes)
+    of = targets(sizes, {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)})
+    want = sorted(((r[0], r[3], len(cases.words_of(r[1])), sizes[r[3]]) for r in clean), key=repr)
+    assert sorted((g[:4] for g in got), key=repr) == want
+    for _, source, size, _, target, taken in got:
+        assert target == pytest.approx(of[source]) and 0 <= taken <= 2 * size
