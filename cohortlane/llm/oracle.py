@@ -136,3 +136,12 @@ SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS componen
 FROM d LEFT JOIN sizes ON d.doc_id = sizes.doc_id JOIN reach r ON d.doc_id = r.doc_id
 GROUP BY d.doc_id
 """
+
+ORACLE["op11_exact_dedup"] = """
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256
+FROM (
+    SELECT doc_id, max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id,
+           count(*) OVER (PARTITION BY coalesce(text, '')) AS group_size,
+           sha256(coalesce(text, '')) AS text_sha256
+    FROM documents)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, line_dedup, mixing, near_dedup, quality, secrets, substring_dedup, topk, url_filter
+from . import decontamination, exact_dedup, language_id, line_dedup, mixing, near_dedup, quality, secrets, substring_dedup, topk, url_filter
 from .columns import held_out
 from .store import table
 
@@ -94,6 +94,12 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, folder, "pages"), URL_RULES)
 
 
+def op11_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    done = exact_dedup.dedup_exact(docs, carry=("doc_id",))
+    return done.select("row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -107,5 +113,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_substring_dedup,
         op9_decontamination,
         op10_url_filter,
+        op11_exact_dedup,
     )
 }
