@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, language_id, line_dedup, mixing, near_dedup, quality, secrets, substring_dedup, topk, url_filter
+from . import (
+    decontamination,
+    exact_dedup,
+    language_id,
+    line_dedup,
+    mixing,
+    near_dedup,
+    quality,
+    secrets,
+    spelling,
+    substring_dedup,
+    topk,
+    url_filter,
+)
 from .columns import held_out
 from .store import table
 
@@ -100,6 +113,11 @@ def op11_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return spelling.group_variants(docs)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -114,5 +132,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_decontamination,
         op10_url_filter,
         op11_exact_dedup,
+        op12_spelling_variants,
     )
 }

@@ -48,3 +48,78 @@ def test_exact_dedup_of_one_large_group(spark):
     got = exact_rows(spark, rows, False)
     assert got == brute_exact(rows)
     assert sum(1 for r in got if r[3]) == 2
+
+
+def brute_variants(rows):
+    import re
+    import zlib
+
+    counts: dict[str, int] = {}
+    for doc_id, text, *_ in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = cases.lower(run)
+            if doc_id is not None:
+                h = zlib.crc32(f"{doc_id}:{run}".encode())
+                if h % 199 == 0:
+                    p = h % len(run)
+                    run = run[:p] + run[p + 1 :]
+            counts[run] = counts.get(run, 0) + 1
+    vocab = {w: n for w, n in counts.items() if len(w) >= 6 and n >= 5}
+
+    def near(a, b):
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b)) == 1
+        if abs(len(a) - len(b)) != 1:
+            return False
+        long, short = (a, b) if len(a) > len(b) else (b, a)
+        return any(long[:i] + long[i + 1 :] == short for i in range(len(long)))
+
+    nears = {w: [o for o in vocab if o != w and near(w, o)] for w in vocab}
+    forms = {}
+    for w, others in nears.items():
+        best = min(others, key=lambda o: (-vocab[o], o), default=None)
+        forms[w] = best if best is not None and vocab[best] >= 5 * vocab[w] else None
+    out = []
+    for w in vocab:
+        root = w
+        while forms[root] is not None:
+            root = forms[root]
+        f = forms[w]
+        out.append((w, f, root, vocab[w], len(nears[w]), vocab[f] if f else None))
+    return sorted(out, key=repr)
+
+
+def variant_rows(spark):
+    rng = random.Random(8)
+    stems = ["language", "modeling", "tokenizer", "étésdeux", "dataset", "training", "quality"]
+    made = {
+        "language": ["languag", "lamguage", "languages", "langauge", "lnguage"],
+        "modeling": ["modelling", "modeing", "Modeling"],
+        "tokenizer": ["tokeniser", "tokenizers", "okenizer"],
+        "dataset": ["datasets", "dataste"],
+    }
+    rows = []
+    for i in range(1, 1200):
+        words = []
+        for _ in range(12):
+            stem = rng.choice(stems)
+            if stem in made and rng.random() < 0.15:
+                stem = rng.choice(made[stem])
+            words.append(stem.upper() if rng.random() < 0.05 else stem)
+        rows.append((i, " ".join(words) + " x9y" + "×ab", "en", "a", 1))
+    rows += [(None, "languag languag languag languag languag", "en", "a", 1), (2000, None, "en", "a", 1), (2001, "", "en", "a", 1)]
+    # A chain: lanuag is near languag, which is near language.
+    rows += [(3000, "lanuag " * 6, "en", "a", 1)]
+    return rows
+
+
+def test_spelling_variants_equal_brute_force(spark):
+    from cohortlane.llm import spelling
+
+    rows = variant_rows(spark)
+    done = spelling.group_variants(cases.frame(spark, rows))
+    got = cases.collected(done.select("word", "form", "root", "n", "n_near", "form_n"))
+    want = brute_variants(rows)
+    assert got == want
+    assert any(r[1] is not None for r in want) and any(r[2] != r[1] and r[1] is not None for r in want)
+    assert spelling.group_variants(cases.empty(spark)).count() == 0
