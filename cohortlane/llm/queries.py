@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import (
     decontamination,
     exact_dedup,
+    hard_negatives,
     language_id,
     line_dedup,
     mixing,
@@ -118,6 +119,10 @@ def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.group_variants(docs)
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.mine_hard_negatives(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -133,5 +138,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_url_filter,
         op11_exact_dedup,
         op12_spelling_variants,
+        op13_hard_negatives,
     )
 }

@@ -25,7 +25,7 @@ SMALL = "/root/testdata/sf0.001"
 
 def test_every_operator_is_registered_once():
     names = [n for n in __spark_entry__.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 13))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in __spark_entry__.queries()
 
 

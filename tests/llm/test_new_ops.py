@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+from pyspark.sql import functions as F
+
 from cohortlane.llm import exact_dedup
 
 from . import cases
@@ -123,3 +126,65 @@ def test_spelling_variants_equal_brute_force(spark):
     assert got == want
     assert any(r[1] is not None for r in want) and any(r[2] != r[1] and r[1] is not None for r in want)
     assert spelling.group_variants(cases.empty(spark)).count() == 0
+
+
+def brute_negatives(rows):
+    import math
+
+    kept = []
+    for vec_id, vec, label in rows:
+        if vec_id is None or label is None or vec is None or any(x is None or not math.isfinite(x) for x in vec):
+            continue
+        if vec_id % 7 == 0:
+            label = (label + 1) % 10
+        kept.append((vec_id, label, [math.floor(256 * float(x)) for x in vec]))
+    out = []
+    for a_id, a_label, a in kept:
+        if a_id % 50:
+            continue
+        scored = [(-sum(x * y for x, y in zip(a, v)), i, lab) for i, lab, v in kept if i != a_id]
+        scored.sort()
+        pos = [(i, -s) for s, i, lab in scored if lab == a_label][:5]
+        for p, ps in pos:
+            neg = [(i, -s) for s, i, lab in scored if lab != a_label and 50 * ps <= -100 * s <= 95 * ps][:3]
+            out += [(a_id, p, r + 1, i, ps, ns) for r, (i, ns) in enumerate(neg)]
+    return sorted(out)
+
+
+def negatives_rows(n=1500, seed=4):
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(12, 16))
+    rows = []
+    for i in range(n):
+        c = centres[i % 12] + 0.6 * rng.normal(size=16)
+        c /= np.linalg.norm(c)
+        rows.append((i, [float(x) for x in c], int(rng.integers(0, 10))))
+    rows[3] = (3, [float("nan")] + rows[3][1][1:], 2)
+    rows[5] = (5, None, 2)
+    rows[6] = (6, [None] + rows[6][1][1:], 2)
+    rows[8] = (8, rows[8][1], None)
+    rows[9] = (9, [1e6] + rows[9][1][1:], 1)
+    rows[11] = (11, rows[100][1], rows[100][2])  # a tie with anchor 100's own vector
+    rows += [(2000 + k, rows[50][1], 4) for k in range(40)]  # many equal vectors
+    rows += [(None, rows[1][1], 1)]
+    return rows
+
+
+def test_hard_negatives_equal_brute_force(spark):
+    from cohortlane.llm import hard_negatives
+
+    rows = negatives_rows()
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").withColumn("row", F.lit(1))
+    got = sorted(tuple(r) for r in hard_negatives.mine_hard_negatives(df).collect())
+    want = brute_negatives([(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v], lab) for i, v, lab in rows])
+    assert got == want
+    assert len(want) > 100
+
+
+def test_hard_negatives_of_empty_table(spark):
+    from cohortlane.llm import hard_negatives
+
+    df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
+    assert hard_negatives.mine_hard_negatives(df).count() == 0
