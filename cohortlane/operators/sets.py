@@ -48,10 +48,48 @@ def activity_days(ctx: ReportContext, cond: Column | None = None) -> DataFrame:
     return activity_rows(ctx, cond).distinct()
 
 
+#: Days in one word of a day set.
+WORD_DAYS = 64
+
+
+def day_word(day_col: Column, first: dt.date) -> Column:
+    """Which word of a patient's day set holds ``day_col`` (days from ``first`` on, 64 a word); NULL before."""
+    offset = F.datediff(day_col, day(first))
+    return F.when(offset >= 0, F.floor(offset / WORD_DAYS).cast("int"))
+
+
+def day_bit(day_col: Column, first: dt.date) -> Column:
+    """The bit of ``day_col`` within its word; NULL before ``first``."""
+    offset = F.datediff(day_col, day(first))
+    return F.when(offset >= 0, F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(offset, F.lit(WORD_DAYS)).cast("int")))
+
+
+def count_day_sets(rows: DataFrame, keys: list[str], others: dict[str, Column] | None = None) -> DataFrame:
+    """Rows with ``day_word`` and ``day_bit`` to the number of distinct days per key, as ``active_days``.
+
+    Two hash aggregations of fixed-width buffers, both combined on the map side: the words by
+    ``bit_or`` per (key, word), then their ``bit_count`` summed per key.  No day is compared with
+    another and no set of days is built, and days any number of words after the first still count.
+    ``others`` are aggregates carried through both levels (their own kind each: max of max).
+    """
+    others = others or {}
+    words = rows.groupBy(*keys, "day_word").agg(
+        F.bit_or("day_bit").alias("day_bits"), *[c.alias(n) for n, c in others.items()]
+    )
+    return words.groupBy(*keys).agg(
+        F.sum(F.bit_count("day_bits")).alias("active_days"), *[F.max(n).alias(n) for n in others]
+    )
+
+
 def active_days(ctx: ReportContext, n: int = 7) -> DataFrame:
-    """Number of active days since ``as_of - n``; the day filter comes before the distinct."""
-    recent = activity_days(ctx, F.col("date") >= day(ctx.days_back(n)))
-    return recent.groupBy("patient_id").agg(F.count("*").alias("active_days"))
+    """Number of days with any log since ``as_of - n``; the window is open above, as in the reference."""
+    first = ctx.days_back(n)
+    dated = activity_rows(ctx, F.col("date") >= day(first)).select(
+        "patient_id",
+        day_word(F.col("activity_date"), first).alias("day_word"),
+        day_bit(F.col("activity_date"), first).alias("day_bit"),
+    )
+    return count_day_sets(dated, ["patient_id"])
 
 
 def all_cohorts(ctx: ReportContext) -> DataFrame:

@@ -23,7 +23,7 @@ from ..functions.text import yes_no
 from ..operators.aggregates import agg_text
 from ..operators.filters import active_cohort, done_appointments, severe_side_effects, started
 from ..operators.joins import join_consultant, join_features, last_consultant_message
-from ..operators.sets import ACTIVITY_ROLES, active_days
+from ..operators.sets import ACTIVITY_ROLES, WORD_DAYS, active_days, count_day_sets
 from ..operators.windows import latest_note, latest_weights
 from ..sources.sinks import shared_folder, written_table
 
@@ -60,8 +60,12 @@ def engagement_rows(ctx: ReportContext, prev: bool, active: bool) -> DataFrame:
         )
     if active:
         columns["activity"] = {}
+        first = ctx.days_back(ACTIVE_WINDOW)
+        offset = f"datediff({day_of}, DATE '{first}')"
         for role in ACTIVITY_ROLES:
             columns[role]["last_active_day"] = day_of
+            columns[role]["day_word"] = when(f"{offset} >= 0", f"CAST(floor({offset} / {WORD_DAYS}) AS INT)")
+            columns[role]["day_bit"] = when(f"{offset} >= 0", f"shiftleft(CAST(1 AS BIGINT), CAST(pmod({offset}, {WORD_DAYS}) AS INT))")
 
     def rows(role: str) -> DataFrame:
         if role == "messages":
@@ -82,10 +86,14 @@ def engagement_rows(ctx: ReportContext, prev: bool, active: bool) -> DataFrame:
 
 
 def engagement(ctx: ReportContext, prev: bool = False, active: bool = False) -> DataFrame:
+    """Latest days per patient; with ``active`` also ``active_days``, from the same rows as day sets."""
+
     def build() -> DataFrame:
         rows = engagement_rows(ctx, prev, active)
-        columns = [c for c in rows.columns if c != "patient_id"]
-        return rows.groupBy("patient_id").agg(*[F.max(c).alias(c) for c in columns])
+        columns = [c for c in rows.columns if c not in ("patient_id", "day_word", "day_bit")]
+        if not active:
+            return rows.groupBy("patient_id").agg(*[F.max(c).alias(c) for c in columns])
+        return count_day_sets(rows, ["patient_id"], {c: F.max(c) for c in columns})
 
     return ctx.shared("engagement", build)
 
@@ -101,8 +109,12 @@ def weights(ctx: ReportContext) -> DataFrame:
     return ctx.shared("weights", lambda: latest_weights(ctx.facts("metrics"), ctx.as_of))
 
 
+#: Days back from the report day that count as active days (the window is open above).
+ACTIVE_WINDOW = 7
+
+
 def recent_active_days(ctx: ReportContext) -> DataFrame:
-    return ctx.shared("active_days", lambda: active_days(ctx, 7))
+    return ctx.shared("active_days", lambda: active_days(ctx, ACTIVE_WINDOW))
 
 
 def side_effect_texts(ctx: ReportContext) -> DataFrame:
@@ -146,6 +158,8 @@ def wide(
         rows = cohort_base(ctx)
         if "consultant" in parts:
             rows = join_consultant(rows, ctx.role("consultants"))
+        # With active, the engagement pass counts active days itself.
+        separate = "active_days" in parts and not (active and "engagement" in parts)
         frames = {
             "engagement": lambda: engagement(ctx, prev, active),
             "weights": lambda: weights(ctx),
@@ -153,7 +167,8 @@ def wide(
             "active_days": lambda: recent_active_days(ctx),
             "side_effects": lambda: side_effect_texts(ctx),
         }
-        return join_features(rows, [make() for name, make in frames.items() if name in parts])
+        wanted = [name for name in frames if name in parts and (name != "active_days" or separate)]
+        return join_features(rows, [frames[name]() for name in wanted])
 
     return ctx.shared("wide", build)
 

@@ -76,10 +76,23 @@ def test_same_result_when_skewed_partitions_are_split(spark, folder, name):
 
 
 def test_features_shuffle_once_per_fact_row(ctx):
-    """All log tables share one exchange by patient; hash aggregates on both sides of it."""
+    """All log tables share one exchange of fact rows, by patient and day word, combined on the map side.
+
+    Active days come from the same pass as day sets: the words then meet by patient in a second
+    exchange of one row per patient and word, which replaces the separate distinct over the logs.
+    """
     plan = plan_of(features.engagement(ctx, prev=True, active=True)).split("Initial Plan")[0]
+    assert len(re.findall(r"Exchange hashpartitioning\(patient_id#\d+L, day_word", plan)) == 1
+    assert len(re.findall(r"Exchange hashpartitioning\(patient_id#\d+L, \d+\)", plan)) == 1
+    assert "SortAggregate" not in plan and "Expand" not in plan
+    assert plan.count("partial_bit_or(day_bit") == 1
+    fact_level = plan.split("Exchange hashpartitioning(patient_id")[-1]
+    assert fact_level.count("partial_max(has_food") == 1
+
+
+def test_features_without_days_shuffle_fact_rows_once(ctx):
+    plan = plan_of(features.engagement(ctx, prev=True)).split("Initial Plan")[0]
     assert len(re.findall(r"Exchange hashpartitioning\(patient_id", plan)) == 1
-    assert "SortAggregate" not in plan
     assert plan.count("partial_max(has_food") == 1
 
 
@@ -206,5 +219,5 @@ def test_cohort_is_shuffled_once_for_all_feature_joins(spark, folder):
         plan = plan_of(reports.full_table(make_context(spark, folder)))
     joins = re.findall(r"SortMergeJoin \[patient_id#\d+L?\], \[patient_id", plan)
     exchanges = re.findall(r"Exchange hashpartitioning\(patient_id#\d+L, 8\)", plan)
-    assert len(joins) == 4  # engagement, weight, note, active days
+    assert len(joins) == 3  # engagement (with active days as day sets), weight, note
     assert len(exchanges) == 1 + len(joins)
