@@ -40,9 +40,9 @@ ROLE_VIEWS = {
         FROM customer
     """,
     "patientfoodlogs": """
-        SELECT user_id AS patient_id, ts AS date
+        SELECT user_id AS patient_id, CASE WHEN user_id % 7 = 0 THEN CAST(NULL AS TIMESTAMP) ELSE ts END AS date
         FROM events
-        WHERE event_type IN ('view', 'click') AND user_id % 7 <> 0
+        WHERE event_type IN ('view', 'click')
     """,
     "patienthabitlogs": """
         SELECT user_id AS patient_id, ts AS date
@@ -55,11 +55,11 @@ ROLE_VIEWS = {
         WHERE event_type IN ('purchase', 'view')
     """,
     "metrics": """
-        SELECT user_id AS patient_id, event_id, CASE WHEN event_id % 4 = 0 THEN 'BODY_FAT' ELSE 'BODY_WEIGHT'
-        END AS name, 60 + value / 10 AS value, CASE WHEN event_id % 97 = 0 THEN CAST(NULL AS TIMESTAMP) ELSE ts
-        END AS date, ts AS created_at
+        SELECT user_id AS patient_id, event_id, CASE WHEN user_id % 11 = 0 THEN 'STEPS' WHEN event_id % 4 = 0
+        THEN 'BODY_FAT' ELSE 'BODY_WEIGHT' END AS name, 60 + value / 10 AS value, CASE WHEN event_id % 97 = 0
+        THEN CAST(NULL AS TIMESTAMP) ELSE ts END AS date, ts AS created_at
         FROM events
-        WHERE event_type IN ('purchase', 'error') AND user_id % 11 <> 0
+        WHERE event_type IN ('purchase', 'error')
     """,
     "patientnotes": """
         SELECT o_orderkey AS id, o_custkey AS patient_id, CASE WHEN o_orderkey % 4 = 0 THEN CAST(NULL AS BIGINT)
@@ -97,14 +97,13 @@ ROLE_VIEWS = {
         WHERE event_type = 'signup'
     """,
     "sheet": """
-        SELECT c_custkey AS row_no, CASE WHEN c_custkey % 19 = 0 THEN '' WHEN c_custkey % 2 = 0 THEN
+        SELECT c_custkey AS row_no, CASE WHEN c_custkey % 19 = 0 OR c_custkey % 3 = 1 THEN '' WHEN c_custkey % 2 = 0 THEN
         upper(c_name) ELSE concat('  ', c_name) END AS name, CASE WHEN c_custkey % 3 = 0 THEN 'No scale yet'
         ELSE '' END AS not_onboarding_reason, CASE c_custkey % 6 WHEN 0 THEN '2024-01-05' WHEN 1 THEN
         '06-01-2024' WHEN 2 THEN '7/1/2024' WHEN 3 THEN '8 Jan 2024' WHEN 4 THEN '' ELSE 'n/a' END AS
         glp_1st_dose, CASE WHEN c_custkey % 4 = 0 THEN 'Travelling' ELSE '' END AS meal_logging_reason, CASE
         WHEN c_custkey % 5 = 0 THEN 'Scale broken' ELSE '' END AS weight_logging_reason
         FROM customer
-        WHERE c_custkey % 3 <> 1
     """,
     "existing_leads": """
         SELECT concat('90000', lpad(CAST(c_custkey AS STRING), 5, '0')) AS phone_key
