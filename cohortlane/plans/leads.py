@@ -8,6 +8,7 @@ never taken for an empty one.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -21,7 +22,11 @@ from ..functions.phones import normalize_phone, spread_blank
 from ..functions.text import blank_to_null, full_name
 from ..operators.filters import member_plans, with_reject_reason
 from ..operators.joins import distinct_phones
-from ..sources.sinks import append_table, write_report, written_table
+from ..sources.sinks import append_table, as_text, check_columns, stored_columns, write_report, written_table
+
+
+#: Partition column of the lead table: the signup day a run synced.
+RUN_DAY = "run_day"
 
 
 def report_contact_leads(ctx: ReportContext) -> DataFrame:
@@ -154,6 +159,27 @@ class LeadSync:
     def append_leads(self, path: str) -> None:
         append_table(self.leads.drop("id", "lead"), path)
 
+    def commit_leads(self, path: str, run_day: dt.date, folder: str) -> None:
+        """Replace the partition of ``run_day`` by what it held and this run's inserts.
+
+        Idempotent: the partition is overwritten by dynamic partition overwrite, not appended
+        to, so a rerun, a run that repeats one whose commit failed half way, and two runs
+        that overlap all leave one row per phone.  Other days are never touched.  The rows
+        are staged below ``folder`` first, since a job cannot overwrite what it reads.
+        """
+        spark = self.leads.sparkSession
+        new = as_text(self.leads.drop("id", "lead")).withColumn(RUN_DAY, F.lit(run_day.isoformat()))
+        stored = stored_columns(spark, path)
+        check_columns(new.columns, stored, path)
+        rows = new
+        if stored is not None:
+            held = spark.read.parquet(path).filter(F.col(RUN_DAY) == run_day.isoformat()).select(*new.columns)
+            known = held.select(normalize_phone(F.col("phone_number")).alias("phone_key"))
+            fresh = new.join(known, normalize_phone(F.col("phone_number")).eqNullSafe(F.col("phone_key")), "left_anti")
+            rows = held.unionByName(fresh)
+        staged = written_table(rows, folder, "day")
+        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RUN_DAY).parquet(path)
+
 
 def lead_sync(ctx: ReportContext) -> LeadSync:
     outcomes = ctx.shared(
@@ -179,17 +205,23 @@ def known_leads(spark: SparkSession, path: str) -> DataFrame:
     return stored.select(normalize_phone(F.col("phone_number")).alias("phone_key")).distinct()
 
 
+def prepare_lead_sync(ctx: ReportContext, lead_table: str, folder: str) -> LeadSync:
+    """The run's outcomes against the leads the table holds now, written below ``folder``."""
+    known = known_leads(ctx.spark, lead_table)
+    outcomes = sync_outcomes(signups(ctx), active_customers(ctx), known)
+    ctx = ctx.pinned({"lead_outcomes": written_table(outcomes, folder, "outcomes")})
+    return lead_sync(ctx)
+
+
 def run_lead_sync(ctx: ReportContext, lead_table: str, folder: str) -> LeadSync:
     """Sync into ``lead_table`` and keep rejects and statistics below ``folder``.
 
     The outcomes are written once and everything else is derived from them.  Known
-    leads come from the table itself, so a repeated run finds its leads and adds none.
+    leads come from the table itself, so a repeated run finds its leads and adds none;
+    the leads go in as the partition of the signup day (:meth:`LeadSync.commit_leads`).
     """
-    known = known_leads(ctx.spark, lead_table)
-    outcomes = sync_outcomes(signups(ctx), active_customers(ctx), known)
-    ctx = ctx.pinned({"lead_outcomes": written_table(outcomes, folder, "outcomes")})
-    sync = lead_sync(ctx)
-    sync.append_leads(lead_table)
+    sync = prepare_lead_sync(ctx, lead_table, folder)
+    sync.commit_leads(lead_table, ctx.yesterday, folder)
     write_report(sync.rejects, folder, "rejects")
     write_report(sync.stats, folder, "stats")
     return sync

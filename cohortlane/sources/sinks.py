@@ -6,6 +6,7 @@ import json
 import re
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,10 +23,29 @@ def as_text(df: DataFrame) -> DataFrame:
     return df.select(*[json_cell(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema])
 
 
+def stored_columns(spark, path: str) -> list[str] | None:
+    """Column names of the table at ``path``; None where there is no table yet."""
+    try:
+        return spark.read.parquet(path).columns
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def check_columns(columns: list[str], stored: list[str] | None, path: str) -> None:
+    """A frame may join a table only with the table's columns, in its order; else ValueError."""
+    if stored is not None and list(columns) != list(stored):
+        raise ValueError(f"columns {list(columns)} do not match those of {path}: {list(stored)}")
+
+
 def append_table(df: DataFrame, path: str) -> None:
     """Append the text form.  The header is the schema of the table, so it is never repeated,
-    and an empty frame adds no row."""
-    as_text(df).write.mode("append").parquet(path)
+    and an empty frame adds no row.  A frame with other columns than the table is refused
+    (ValueError) before anything is written: its cells would read back as NULL or not at all."""
+    text = as_text(df)
+    check_columns(text.columns, stored_columns(df.sparkSession, path), path)
+    text.write.mode("append").parquet(path)
 
 
 def shared_folder(spark: SparkSession) -> str:

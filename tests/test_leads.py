@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortlane.plans import leads
+from cohortlane.sources import sinks
 from tests.fixtures import PLANS, at, context, patient
 
 
@@ -186,3 +187,39 @@ def test_append_leads(spark, tmp_path):
     stored = spark.read.parquet(path)
     assert stored.count() == 4
     assert stored.filter(F.col("email") == "").count() == 2
+
+
+def test_append_with_other_columns_is_refused(spark, tmp_path):
+    _, sync = run(spark, [signup(1, "9000000001")])
+    path = str(tmp_path / "leads")
+    sync.append_leads(path)
+    with pytest.raises(ValueError, match="do not match"):
+        sinks.append_table(sync.leads.drop("id", "lead").withColumn("extra", F.lit(1)), path)
+    with pytest.raises(ValueError, match="do not match"):
+        sinks.append_table(sync.leads.drop("id", "lead", "email"), path)
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_overlapping_runs_and_reruns_keep_one_row_per_phone(spark, tmp_path):
+    rows = [signup(1, "9000000001"), signup(2, "9000000002"), signup(3, "+91 90000-00001")]
+    ctx = context(spark, {"patients": rows, "subscriptions": PLANS, "existing_leads": []})
+    table = str(tmp_path / "leads")
+    # Both runs read the table before either commits: the second starts from the state before the first's commit.
+    first = leads.prepare_lead_sync(ctx, table, str(tmp_path / "a"))
+    second = leads.prepare_lead_sync(ctx, table, str(tmp_path / "b"))
+    first.commit_leads(table, ctx.yesterday, str(tmp_path / "a"))
+    second.commit_leads(table, ctx.yesterday, str(tmp_path / "b"))
+    stored = spark.read.parquet(table)
+    assert sorted(r.phone_number for r in stored.collect()) == ["9000000001", "9000000002"]
+    again = leads.run_lead_sync(ctx, table, str(tmp_path / "c"))
+    assert again.stats.first().total_ingested == 0
+    assert spark.read.parquet(table).count() == 2
+    # Another day goes into a partition of its own and leaves this one as it is.
+    import datetime as dt
+
+    later_rows = [signup(4, "9000000004", created_at=at(31, 8))]
+    later = context(spark, {"patients": later_rows, "subscriptions": PLANS, "existing_leads": []}, as_of=ctx.as_of + dt.timedelta(days=1))
+    assert leads.run_lead_sync(later, table, str(tmp_path / "d")).stats.first().total_ingested == 1
+    stored = spark.read.parquet(table)
+    assert stored.filter(F.col("run_day") == ctx.yesterday.isoformat()).count() == 2
+    assert stored.count() == 3
