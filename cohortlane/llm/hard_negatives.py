@@ -6,7 +6,8 @@ a centre c, <q, x> lies in <q, c> -+ |q| r. The tree is fitted by farthest-first
 bounded sample of points (SAMPLE_ROWS, those whose ids hash lowest): each centre hangs below the
 nearest centre picked before it, and its level is the logarithm of its distance to them. Every row
 of the table is indexed: Spark gives it to its nearest centre, whose cell is cut into blocks of about
-BLOCK_ROWS rows by a hash of the id, so a cell of a third of all rows is still many tasks. Covering
+TILE_ROWS rows by a hash of the id, so a cell of a third of all rows is still many tasks; smaller
+neighbouring cells share a tile, the unit in which anchors meet rows. Covering
 radii are measured, not assumed: a block's radius is the largest distance of its rows, a node's the
 largest of its cell's and its children's (distance to the child plus the child's radius).
 
@@ -41,8 +42,10 @@ from .store import Shared, Steps
 SAMPLE_ROWS = 4096
 #: Nodes of the tree (centres of the sample picked first).
 NODES = 256
-BLOCK_ROWS = 512
-ANCHOR_ROWS = 256
+#: Neighbouring cells are packed into tiles of about so many rows; a larger cell is cut into parts.
+TILE_ROWS = 4096
+#: Anchors that meet a tile together.
+ANCHOR_ROWS = 1024
 SEED_CELLS = 8
 SEED_KEEP = 16
 #: Fixed values of the contract.
@@ -65,6 +68,7 @@ class Tree:
     width: int
     cell: np.ndarray | None = None  # radius of a node's own cell
     subtree: np.ndarray | None = None  # radius of the node with all below it
+    tile: np.ndarray | None = None  # the tile that holds a node's cell
 
     def lift(self, x: np.ndarray) -> np.ndarray:
         rest = np.sqrt(np.maximum(self.most - (x * x).sum(1), 0.0))
@@ -116,6 +120,30 @@ def set_radii(tree: Tree, cells: dict[int, float]) -> Tree:
     return tree
 
 
+def pack_tiles(tree: Tree, counts: dict[int, int]) -> list[tuple[int, int, int]]:
+    """(cell, tile, parts): cells in node order packed into tiles of up to TILE_ROWS rows; a larger
+    cell is a tile of its own, cut into ceil(rows / TILE_ROWS) parts by a hash of the id."""
+    tile = np.full(len(tree.parent), -1)
+    out, current, filled = [], 0, 0
+    for cell in range(len(tree.parent)):
+        n = counts.get(cell, 0)
+        if not n:
+            continue
+        if n > TILE_ROWS:
+            current += 1
+            tile[cell] = current
+            out.append((cell, current, -(-n // TILE_ROWS)))
+            current, filled = current + 1, 0
+            continue
+        if filled + n > TILE_ROWS:
+            current, filled = current + 1, 0
+        tile[cell] = current
+        filled += n
+        out.append((cell, current, 1))
+    tree.tile = tile
+    return out
+
+
 def _bounds(tree: Tree, q: np.ndarray, radius: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     at = tree.centres[:, :-1] @ q
     room = np.sqrt(float(q @ q)) * radius * (1 + SLACK) + 1
@@ -195,8 +223,8 @@ def _plans(shared: Shared, mode: str):
                     found = visit(tree, q, -np.inf, np.inf, r.floor)
                 else:
                     found = visit(tree, q, r.low, r.high, r.floor)
-                out += [(r.anchor, c) for c in found]
-            yield pd.DataFrame(out, columns=["anchor", "cell"]).astype({"anchor": "int64", "cell": "int32"})
+                out += [(r.anchor, int(t)) for t in sorted({tree.tile[c] for c in found})]
+            yield pd.DataFrame(out, columns=["anchor", "tile"]).astype({"anchor": "int64", "tile": "int32"})
 
     return run
 
@@ -249,19 +277,21 @@ _CANDIDATES = "anchor long, positive long, id long, label long, score long"
 
 
 def _round(steps: Steps, shared: Shared, anchors: DataFrame, blocks: DataFrame, mode: str, name: str) -> DataFrame:
-    """Plans the anchors' cells, deals anchors of a cell into chunks and scores them against its blocks."""
+    """Plans the tiles of the anchors' cells, deals the anchors of a tile into chunks and scores them against
+    its parts. Rows of a tile outside the visited cells are scored too: exact scores of real rows never
+    change a top list that already holds all rows it needs."""
     plans = steps.keep(
-        anchors.mapInPandas(_plans(shared, mode), "anchor long, cell int"), f"{name}_plans"
+        anchors.mapInPandas(_plans(shared, mode), "anchor long, tile int"), f"{name}_plans"
     )
-    visits = plans.groupBy("cell").agg(F.count(F.lit(1)).alias("visits"))
+    visits = plans.groupBy("tile").agg(F.count(F.lit(1)).alias("visits"))  # a row per tile
     chunked = (
-        plans.join(visits, "cell")
+        plans.join(F.broadcast(visits), "tile")
         .join(anchors, "anchor")
         .withColumn("chunk", F.pmod(F.xxhash64("anchor"), F.ceil(F.col("visits") / ANCHOR_ROWS)))
-        .groupBy("cell", "chunk")
+        .groupBy("tile", "chunk")
         .agg(F.collect_list(F.struct(*[c for c in anchors.columns])).alias("anchors"))
     )
-    met = chunked.join(blocks, "cell").select("anchors", "ids", "labels", "xs")
+    met = chunked.join(blocks, "tile").select("anchors", "ids", "labels", "xs")
     return steps.keep(met.mapInPandas(_score(shared, mode), _CANDIDATES), name)
 
 
@@ -295,14 +325,16 @@ def mine_hard_negatives(embeddings: DataFrame) -> DataFrame:
     placed = steps.keep(
         rows.mapInPandas(_cells(shared), "id long, label long, x array<long>, cell int, far double"), "placed"
     )
-    measured = placed.groupBy("cell").agg(F.max("far").alias("radius")).collect()  # one row per node at most
+    measured = placed.groupBy("cell").agg(F.max("far").alias("radius"), F.count(F.lit(1)).alias("n")).collect()
+    # One row per node at most: the tree and its tiles have a size that the sample bounds.
     tree = set_radii(tree, {int(r["cell"]): float(r["radius"]) for r in measured})
+    tiles = pack_tiles(tree, {int(r["cell"]): int(r["n"]) for r in measured})
     shared = Shared(spark, tree)
-    counts = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+    cell_map = spark.createDataFrame(tiles or [(-1, -1, 1)], "cell int, tile int, parts int")
     blocks = steps.keep(
-        placed.join(counts, "cell")
-        .withColumn("block", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / BLOCK_ROWS)))
-        .groupBy("cell", "block")
+        placed.join(F.broadcast(cell_map), "cell")
+        .withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+        .groupBy("tile", "part")
         .agg(F.collect_list("id").alias("ids"), F.collect_list("label").alias("labels"), F.collect_list("x").alias("xs")),
         "blocks",
     )

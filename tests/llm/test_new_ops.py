@@ -188,3 +188,16 @@ def test_hard_negatives_of_empty_table(spark):
 
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert hard_negatives.mine_hard_negatives(df).count() == 0
+
+
+def test_hard_negatives_in_small_tiles_and_chunks(spark, monkeypatch):
+    from cohortlane.llm import hard_negatives
+
+    monkeypatch.setattr(hard_negatives, "TILE_ROWS", 60)
+    monkeypatch.setattr(hard_negatives, "ANCHOR_ROWS", 3)
+    monkeypatch.setattr(hard_negatives, "NODES", 40)
+    rows = negatives_rows(n=700, seed=9)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = sorted(tuple(r) for r in hard_negatives.mine_hard_negatives(df).collect())
+    want = brute_negatives([(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v], lab) for i, v, lab in rows])
+    assert got == want
