@@ -76,42 +76,57 @@ def islands(df: DataFrame, key: str, day_column: str, flag: str) -> DataFrame:
     return df.withColumn("island", F.date_sub(day_column, F.row_number().over(w)))
 
 
+#: Days in one word of a streak's day set.
+WORD_DAYS = 64
+
+
+def _trailing_ones(word: Column) -> Column:
+    """Set bits of ``word`` below its lowest clear bit; only the word 2^63 - 1 overflows the + 1, and has 63."""
+    return F.coalesce(F.bit_count(word.bitwiseXOR(F.try_add(word, F.lit(1).cast("long")))) - 1, F.lit(63))
+
+
+def run_ending(active: Column, check_date: Column, first: dt.date, last: dt.date) -> tuple[list[Column], Column]:
+    """Aggregates of day bits and the length of the run of active days that ends on ``last``.
+
+    Days from ``last`` back to ``first`` are bits of ceil(days / 64) words, a number fixed when
+    the plan is built; each word is one ``bit_or`` of a hash aggregation, so no window orders a
+    patient's days and no set of days is built. The run is 64 for each full word from ``last``
+    back, plus the trailing ones of the first word that is not full. Returns the aggregates
+    (named ``streak_w<j>``) and, over their results, the length (NULL for none).
+    """
+    span = (last - first).days + 1
+    count = max(1, -(-span // WORD_DAYS))
+    inside = active & (check_date >= day(first)) & (check_date <= day(last))
+    offset = F.datediff(day(last), check_date)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(offset, F.lit(WORD_DAYS)).cast("int"))
+    word = F.floor(offset / WORD_DAYS)
+    aggs = [F.bit_or(F.when(inside & (word == j), bit)).alias(f"streak_w{j}") for j in range(count)]
+    length = F.lit(WORD_DAYS * count).cast("long")
+    for j in reversed(range(count)):
+        w = F.coalesce(F.col(f"streak_w{j}"), F.lit(0).cast("long"))
+        length = F.when(w != -1, WORD_DAYS * j + _trailing_ones(w)).otherwise(length)
+    return aggs, F.when(length > 0, length)
+
+
 def streak_marks(days: DataFrame, as_of_prev: dt.date, start: dt.date) -> DataFrame:
     """Per patient the streak ending on ``as_of_prev`` and that day's log flags.
 
-    ``days`` has one row per patient and day with at least one log.  Everything after
-    the window is partitioned by patient already, so the two aggregations add no
-    shuffle, and a patient has at most one row per calendar day.
+    ``days`` has one row per patient and day with at least one log.  One hash aggregation by
+    patient holds the streak's day bits (:func:`run_ending`) and the day's flags.
     """
-    active = active_streak(F.col("food"), F.col("activity")) & (F.col("check_date") >= day(start))
-    w = Window.partitionBy("patient_id").orderBy("check_date")
-    runs = (
-        days.withColumn("active", active)
-        .withColumn("island", F.date_sub("check_date", F.sum(F.col("active").cast("int")).over(w).cast("int")))
-        .groupBy("patient_id", "island")
-        .agg(
-            F.max(F.when(F.col("active"), F.col("check_date"))).alias("last_day"),
-            F.count_if("active").alias("length"),
-            *[
-                F.max(F.when(F.col("check_date") == day(as_of_prev), F.col(c))).alias(c)
-                for c in ("food", "habit", "activity")
-            ],
-        )
-    )
-    return runs.groupBy("patient_id").agg(
-        F.max(F.when(F.col("last_day") == day(as_of_prev), F.col("length"))).alias("streak"),
-        *[F.coalesce(F.max(c), F.lit(False)).alias(c) for c in ("food", "habit", "activity")],
+    active = active_streak(F.col("food"), F.col("activity"))
+    aggs, length = run_ending(active, F.col("check_date"), start, as_of_prev)
+    flags = [F.max(F.when(F.col("check_date") == day(as_of_prev), F.col(c))).alias(c) for c in ("food", "habit", "activity")]
+    marks = days.groupBy("patient_id").agg(*aggs, *flags)
+    return marks.select(
+        "patient_id",
+        length.cast("long").alias("streak"),
+        *[F.coalesce(c, F.lit(False)).alias(c) for c in ("food", "habit", "activity")],
     )
 
 
 def current_streak(active_days: DataFrame, last_day: dt.date, start: dt.date) -> DataFrame:
     """Length of the run of active days that ends on ``last_day``; patients without one do not appear."""
-    days = active_days.filter((F.col("check_date") >= day(start)) & (F.col("check_date") <= day(last_day)))
-    w = Window.partitionBy("patient_id").orderBy("check_date")
-    return (
-        days.withColumn("island", F.date_sub("check_date", F.row_number().over(w)))
-        .groupBy("patient_id", "island")
-        .agg(F.max("check_date").alias("last"), F.count("*").alias("streak"))
-        .filter(F.col("last") == day(last_day))
-        .select("patient_id", "streak")
-    )
+    aggs, length = run_ending(F.lit(True), F.col("check_date"), start, last_day)
+    marks = active_days.groupBy("patient_id").agg(*aggs)
+    return marks.select("patient_id", length.alias("streak")).filter(F.col("streak").isNotNull())

@@ -143,3 +143,37 @@ def test_excluded_team_names(spark):
         team_excluded_names=("bob",),
     )
     assert [r.name for r in streaks.team_targets(ctx).collect()] == ["Ann Lee"]
+
+
+def test_streaks_over_many_words_equal_walking_back(spark):
+    """Runs longer than one word of 64 days, starts years back, gaps, days before the start."""
+    last = dt.date(2024, 1, 30)
+    start = last - dt.timedelta(days=900)
+    rng = random.Random(11)
+    rows = []
+    runs = {1: 0, 2: 63, 3: 64, 4: 65, 5: 130, 6: 901, 7: 950}
+    for pid, length in runs.items():
+        rows += [(pid, last - dt.timedelta(days=k), True, False, True) for k in range(length)]
+    rows += [(8, last - dt.timedelta(days=k), True, False, rng.random() < 0.9) for k in range(300)]
+    rows += [(9, last - dt.timedelta(days=1), True, False, True)]
+    days = spark.createDataFrame(rows, "patient_id long, check_date date, food boolean, habit boolean, activity boolean")
+
+    def walked(pid):
+        mine = {d for p, d, food, _, act in rows if p == pid and food and act}
+        n, d = 0, last
+        while d in mine and d >= start:
+            n, d = n + 1, d - dt.timedelta(days=1)
+        return n or None
+
+    got = {r.patient_id: r.streak for r in windows.streak_marks(days, last, start).collect()}
+    assert got == {pid: walked(pid) for pid in range(2, 10)}
+    assert got[7] == 901 and got[4] == 65
+    plain = days.filter("food AND activity").select("patient_id", "check_date")
+    found = {r.patient_id: r.streak for r in windows.current_streak(plain, last, start).collect()}
+    assert found == {pid: n for pid in range(2, 10) if (n := walked(pid))}
+
+
+def test_team_streaks_order_no_days_by_window(spark):
+    ctx = context(spark, {"patients": [patient(1)]})
+    plan = streaks.team_streaks(ctx)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
