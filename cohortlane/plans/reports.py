@@ -30,7 +30,6 @@ from ..operators.joins import (
 from ..operators.sets import sorted_report
 from .features import (
     since,
-    stored_wide,
     summary_features,
     today_columns,
     wide,
@@ -254,12 +253,13 @@ def annotated_flags(ctx: ReportContext) -> DataFrame:
 
 def report_annotated_users(ctx: ReportContext, plan_type: str | None = None) -> DataFrame:
     """The user tables as published, with ``__cell_classes__`` telling which cells were replaced."""
-    users = _of_plan(annotated_table(stored_wide(ctx, (*USER_PARTS, "weights"), active=True)), plan_type)
+    users = _of_plan(annotated_table(ctx), plan_type)
     return titled(users, {**fv.USER_HEADINGS, "cell_classes": "__cell_classes__"})
 
 
 def report_summary_final(ctx: ReportContext) -> DataFrame:
-    ctx = stored_wide(ctx, ("engagement", "weights"), prev=True)
+    """Built without touching a file: a run that publishes several reports shares one written
+    wide frame through :func:`plans.registry.pin`; a single report is one lazy plan."""
     final = recount(summary_table(ctx), annotated_track(ctx))
     return titled(sorted_report(final, ["sort_order"]), fv.SUMMARY_HEADINGS)
 

@@ -423,3 +423,21 @@ def test_a_start_with_a_time_counts_by_its_day(spark):
     df = spark.sql("SELECT TIMESTAMP '2024-01-30 10:00:00' AS subscription_start_date")
     assert df.filter(filters.started(dt.date(2024, 1, 30))).count() == 1
     assert df.filter(filters.started(dt.date(2024, 1, 29))).count() == 0
+
+
+def test_single_reports_touch_no_file_while_built(spark, folder, monkeypatch):
+    """The wide frame is written at run time only where several reports share it (registry.pin)."""
+    from cohortlane.plans import features as features_module
+    from cohortlane.sources import sinks as sinks_module
+    from cohortlane_checks.queries import make_context as checks_context
+
+    def refuse(*_, **__):
+        raise AssertionError("a file was written while a query was built")
+
+    monkeypatch.setattr(features_module, "written_table", refuse)
+    monkeypatch.setattr(sinks_module, "written_table", refuse)
+    ctx = checks_context(spark, folder)
+    from cohortlane.plans import reports as reports_module
+
+    reports_module.report_annotated_users(ctx)
+    reports_module.report_summary_final(ctx)
