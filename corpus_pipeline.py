@@ -23,11 +23,24 @@ def _rows(packed: DataFrame, columns: list[str]) -> DataFrame:
     return packed.select(*[F.col("row")[c].alias(c) for c in columns])
 
 
+#: Languages the corpus keeps (None: every language the model learned), and the least posterior of a kept document.
+KEPT_LANGUAGES: tuple[str, ...] | None = None
+LEAST_POSTERIOR = 0.5
+
+
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no language can be told (no letter, or no text) go; all others stay as they are."""
+    """Documents go that the language model rejects: no letter or no text, a language outside KEPT_LANGUAGES, or a
+    posterior under LEAST_POSTERIOR. A model that learned no language (no labelled rows) rejects only documents
+    without a letter. The others stay as they are."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     model = language_id.train(docs.filter(~held_out("doc_id")))
-    return _rows(language_id.identify(docs, model).filter(F.col("lang_pred") != language_id.UNKNOWN), docs.columns)
+    judged = language_id.identify(docs, model)
+    if not model.languages:
+        keep = F.coalesce(F.col("row.text").rlike(r"\p{L}"), F.lit(False))
+    else:
+        kept = model.languages if KEPT_LANGUAGES is None else KEPT_LANGUAGES
+        keep = F.col("lang_pred").isin(*kept) & (F.col("score") >= LEAST_POSTERIOR)
+    return _rows(judged.filter(keep), docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
+from cohortlane.llm import language_id
 from cohortlane.llm.language_id import has_letter
 from cohortlane.llm.oracle import ORACLE
 from cohortlane.llm.queries import QUERIES
@@ -59,7 +60,11 @@ def test_pipeline_rows_are_those_of_plain_python(spark, tmp_path):
     done = corpus_pipeline.run(spark, str(tmp_path)).select("doc_id", "source", "size", "source_size", "target", "taken")
     got = cases.collected(done)
 
-    left = [r for r in rows if has_letter(r[1])]
+    from cohortlane.llm.columns import held_out
+
+    model = language_id.train(cases.frame(spark, rows, False).filter(~held_out("doc_id")))
+    said, sure = model.predict([r[1] for r in rows])
+    left = [r for r, lang, p in zip(rows, said, sure) if lang in model.languages and p >= corpus_pipeline.LEAST_POSTERIOR]
     key = lambda line: cases.lower(line.strip(" \t\n\x0b\x0c\r"))
     held: dict[str, set] = {}
     for r in left:
@@ -81,3 +86,18 @@ def test_pipeline_rows_are_those_of_plain_python(spark, tmp_path):
     assert sorted((g[:4] for g in got), key=repr) == want
     for _, source, size, _, target, taken in got:
         assert target == pytest.approx(of[source]) and 0 <= taken <= 2 * size
+
+
+def test_language_stage_without_labels_keeps_what_has_a_letter(spark):
+    rows = [(1, "plain words here", None, "a", 1), (2, "12 34 !!", None, "a", 1), (3, None, None, "a", 1), (4, "\u00c9t\u00e9", None, "b", 1)]
+    kept = corpus_pipeline.keep_known_languages(spark, cases.frame(spark, rows), SMALL)
+    assert sorted(r.doc_id for r in kept.collect()) == [r[0] for r in rows if has_letter(r[1])]
+
+
+def test_language_stage_drops_languages_not_kept(spark, monkeypatch):
+    rng = random.Random(2)
+    english = [(i, " ".join(rng.choice(["the", "and", "which", "there", "would", "about"]) for _ in range(40)), "en", "a", 1) for i in range(1, 40)]
+    german = [(i, " ".join(rng.choice(["und", "nicht", "werden", "über", "schön", "müssen"]) for _ in range(40)), "de", "a", 1) for i in range(40, 80)]
+    monkeypatch.setattr(corpus_pipeline, "KEPT_LANGUAGES", ("en",))
+    kept = corpus_pipeline.keep_known_languages(spark, cases.frame(spark, english + german), SMALL)
+    assert sorted(r.doc_id for r in kept.collect()) == [r[0] for r in english]
