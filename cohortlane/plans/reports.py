@@ -30,6 +30,7 @@ from ..operators.joins import (
 from ..operators.sets import sorted_report
 from .features import (
     since,
+    stored_wide,
     summary_features,
     today_columns,
     wide,
@@ -258,8 +259,8 @@ def report_annotated_users(ctx: ReportContext, plan_type: str | None = None) ->
 
 
 def report_summary_final(ctx: ReportContext) -> DataFrame:
-    """Built without touching a file: a run that publishes several reports shares one written
-    wide frame through :func:`plans.registry.pin`; a single report is one lazy plan."""
+    """The summary and the annotated track meet one wide frame, written once, so patients are scanned once."""
+    ctx = stored_wide(ctx, ("engagement", "weights"), prev=True)
     final = recount(summary_table(ctx), annotated_track(ctx))
     return titled(sorted_report(final, ["sort_order"]), fv.SUMMARY_HEADINGS)
 

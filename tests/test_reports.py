@@ -425,8 +425,8 @@ def test_a_start_with_a_time_counts_by_its_day(spark):
     assert df.filter(filters.started(dt.date(2024, 1, 29))).count() == 0
 
 
-def test_single_reports_touch_no_file_while_built(spark, folder, monkeypatch):
-    """The wide frame is written at run time only where several reports share it (registry.pin)."""
+def test_annotated_users_touches_no_file_while_built(spark, folder, monkeypatch):
+    """Its wide frame is not written while the query is built."""
     from cohortlane.plans import features as features_module
     from cohortlane.sources import sinks as sinks_module
     from cohortlane_checks.queries import make_context as checks_context
@@ -440,4 +440,3 @@ def test_single_reports_touch_no_file_while_built(spark, folder, monkeypatch):
     from cohortlane.plans import reports as reports_module
 
     reports_module.report_annotated_users(ctx)
-    reports_module.report_summary_final(ctx)
