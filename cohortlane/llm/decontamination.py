@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
+from fractions import Fraction
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -193,7 +194,7 @@ def find_contamination(
     item_id_col: str = "item_id",
     item_text_col: str = "text",
     window: int = 13,
-    coverage: float = 0.05,
+    coverage: float | Fraction = 0.05,
     carry: Sequence[str] | None = None,
 ) -> DataFrame:
     """row (struct of the columns of docs in carry, or all), n_words, spans, item_ids, n_hit, contaminated.
@@ -244,9 +245,9 @@ def find_contamination(
     signed = F.transform("spans", lambda x, i: F.when(i % 2 == 1, x).otherwise(-x).cast("long"))
     n_hit = F.aggregate(signed, F.lit(0).cast("long"), lambda n, x: n + x)
     state = state.select("row", "n_words", "spans", "item_ids", n_hit.alias("n_hit"))
-    over = (F.col("n_hit") > 0) & (F.col("n_hit") >= F.col("n_words") * F.lit(coverage))
-    if coverage == 0.05:
-        over = (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+    # One rule in whole numbers: coverage as the fraction it is written as (0.05 is 1/20), never a float product.
+    share = coverage if isinstance(coverage, Fraction) else Fraction(str(coverage)).limit_denominator(10**6)
+    over = (F.col("n_hit") > 0) & (F.lit(share.denominator) * F.col("n_hit") >= F.lit(share.numerator) * F.col("n_words"))
     return state.withColumn("contaminated", over)
 
 

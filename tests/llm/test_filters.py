@@ -180,3 +180,12 @@ def test_urls(spark, monkeypatch, bound):
     assert cases.collected(done) == sorted(((i, *brute_url(u, rules)) for i, u in rows), key=repr)
     assert url_filter.judge_urls(pages.limit(0), rules).count() == 0
     assert url_filter.judge_urls(pages, []).filter("rule IS NOT NULL").count() == 0
+
+
+def test_coverage_is_compared_in_whole_numbers(spark):
+    """3 of 10 words at coverage 0.3 is contaminated; 10 * 0.3 in floating point is above 3."""
+    bench = spark.createDataFrame([(1, "zebra")], "item_id long, text string")
+    rows = [(1, "zebra zebra zebra a b c d e f g", "en", "a", 1), (2, "zebra zebra a b c d e f g h", "en", "a", 1)]
+    done = decontamination.find_contamination(cases.frame(spark, rows), bench, coverage=0.3)
+    got = {r["row"]["doc_id"]: (r["n_hit"], r["n_words"], r["contaminated"]) for r in done.collect()}
+    assert got == {1: (3, 10, True), 2: (2, 10, False)}
