@@ -80,6 +80,22 @@ def test_secret_scan_tests_values_after_names(spark):
         assert sum(i % len(shapes) == k for i in found) >= 8, shape
 
 
+def test_secret_query_counts_each_kind(spark, tmp_path):
+    """Each count is that of its kind, also where a kind is missing, alone, or not in the order of KINDS."""
+    assign, access, hexa = "token=abcdef", "AKIA" + "Z9" * 8, "0a" * 12
+    texts = [*SECRET_TEXTS, assign, access, hexa, *(" ".join(x) for x in ([hexa, access, assign], [access] * 3, [hexa, assign, hexa, assign]))]
+    rows = [(i, t, "en", "a", 1) for i, t in enumerate(texts)] + [(None, assign, "en", "a", 1)] + [(0, access, "en", "a", 1)] * 2
+    cases.frame(spark, rows, False).write.parquet(f"{tmp_path}/documents.parquet")
+    want = []
+    for doc_id, text, *_ in rows:
+        base = brute_base(text)
+        digest = cases.sha(",".join(f"{('assign', 'access', 'hex')[k]}:{s}:{e}" for s, k, e in base))
+        want.append((doc_id, *(sum(k == kind for _, k, _ in base) for kind in range(3)), digest))
+    done = queries.op1_secret_scan(spark, str(tmp_path)).drop("spans")
+    assert done.dtypes == [("doc_id", "bigint"), ("n_assign", "bigint"), ("n_access", "bigint"), ("n_hex", "bigint"), ("base_sha256", "string")]
+    assert cases.collected(done) == sorted(want, key=repr)
+
+
 def test_lines(spark):
     rows = cases.awkward(random.Random(5))
     key = lambda line: cases.lower(line.strip(" \t\n\x0b\x0c\r"))
